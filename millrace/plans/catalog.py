@@ -23,7 +23,7 @@ from millrace.operators import (
 from millrace.plans import itemcf, relations
 from millrace.sources import lines as text
 from millrace.sources import matrices, sinks
-from millrace.storage import materialize, new_path
+from millrace.storage import new_path
 from millrace.streaming.purchases import run_available, windowed_purchase_summary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -463,24 +463,20 @@ def component_grid(spark, sf_dir):
 # --- collaborative filtering ---------------------------------------------------------------
 
 
-def _unique_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.average_ratings(relations.ratings(spark, sf_dir))
-
-
 @query
 def item_similarity(spark, sf_dir):
-    return rounded(similarity.item_similarity(_unique_ratings(spark, sf_dir)), 9, "similar")
+    return rounded(similarity.item_similarity(relations.ratings(spark, sf_dir)), 9, "similar")
 
 
 @query
 def similarity_size(spark, sf_dir):
-    pairs = similarity.item_similarity(_unique_ratings(spark, sf_dir))
+    pairs = similarity.item_similarity(relations.ratings(spark, sf_dir))
     return pairs.agg(F.count("*").alias("pairs"))
 
 
 @query
 def item_recommend(spark, sf_dir):
-    ratings = materialize(_unique_ratings(spark, sf_dir), "ratings")
+    ratings = relations.ratings(spark, sf_dir)
     sim = similarity.item_similarity(ratings)
     return rounded(recommend.item_recommend(sim, ratings), 6, "pref")
 

@@ -1,0 +1,250 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from millrace.functions.chisquare import presumption
+from millrace.operators import chisquare, columns, decomposition
+from millrace.sources import matrices
+
+ROWS = [(1.0, 2.0, 3.0, 4.0), (2.0, 3.0, 4.0, 5.0), (3.0, 4.0, 5.0, 6.0)]
+NAMES = ["a", "b", "c", "d"]
+
+
+@pytest.fixture(scope="module")
+def narrow(spark):
+    return spark.createDataFrame(ROWS, "a double, b double, c double, d double")
+
+
+@pytest.fixture(scope="module")
+def wide(narrow):
+    """The same matrix as one array column, which takes the MLlib path."""
+    return columns.row_matrix(narrow, NAMES)
+
+
+@pytest.fixture(params=["narrow", "wide"])
+def matrix(request, narrow, wide):
+    return (narrow, NAMES) if request.param == "narrow" else (wide, "features")
+
+
+def cells(df):
+    return {(i, j): v for i, j, v in rows(df)}
+
+
+# --- chi-square ----------------------------------------------------------------------------
+
+
+def vector_test(spark, *observed):
+    df = spark.createDataFrame([(list(map(float, observed)),)], "o array<double>")
+    return chisquare.with_verdict(chisquare.with_pvalue(chisquare.chisq_gof_vectors(df, "o"))).first()
+
+
+def test_vector_goldens(spark):
+    r = vector_test(spark, 1, 7, 2, 3, 18)
+    assert r.statistic == pytest.approx(31.41935483870968, rel=1e-12)
+    assert r.p_value == pytest.approx(2.513864414122673e-6, rel=1e-9)
+    assert (r.df, r.method) == (4, "pearson")
+    assert r.verdict.startswith("Very strong presumption against")
+    r = vector_test(spark, 7, 8, 6, 7, 9)
+    assert r.statistic == pytest.approx(0.7027027027027026, rel=1e-12)
+    assert r.p_value == pytest.approx(0.9509952049458091, rel=1e-12)
+    assert r.verdict.startswith("No presumption against")
+    assert r.null_hypothesis == "observed follows the same distribution as expected."
+
+
+def test_vector_edges(spark):
+    r = vector_test(spark, 0, 0, 0)
+    assert math.isnan(r.statistic) and math.isnan(r.p_value) and r.verdict is None
+    with pytest.raises(Exception, match="negative observed count"):
+        vector_test(spark, 1, -1, 0)
+
+
+def gamma_tail(h, k):
+    """Upper tail through the regularised lower gamma series."""
+    term = total = 1 / math.gamma(k / 2 + 1)
+    for m in range(1, 2000):
+        term *= h / (k / 2 + m)
+        total += term
+    return 1 - total * h ** (k / 2) * math.exp(-h)
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 4, 5, 8, 11, 30])
+def test_pvalue_against_series(spark, k):
+    statistics = [0.0, 0.3, 1.0, 4.5, 12.0]
+    df = spark.createDataFrame([(k, s) for s in statistics], "df long, statistic double")
+    for _, s, p in rows(chisquare.with_pvalue(df)):
+        assert p == pytest.approx(gamma_tail(s / 2, k), rel=1e-9, abs=1e-12)
+
+
+def test_pvalue_far_out(spark):
+    df = spark.createDataFrame([(4, 2000.0), (2, 1400.0), (100_000, 100_000.0)], "df long, statistic double")
+    far, exponential, middle = [p for _, _, p in rows(chisquare.with_pvalue(df, odd=False))]
+    assert far == 0.0 or far < 1e-300
+    assert exponential == pytest.approx(math.exp(-700), rel=1e-9)
+    assert middle == pytest.approx(0.5, abs=0.01)
+
+
+def test_presumption_bounds(spark):
+    df = spark.createDataFrame([(0.01,), (0.05,), (0.1,), (0.11,)], "p double")
+    words = [r[1].split()[0] for r in rows(df.select("p", presumption(F.col("p"))), "p")]
+    assert words == ["Very", "Strong", "Low", "No"]
+
+
+def test_grouped_test_counts_missing_categories(spark):
+    data = [("g", "x")] * 6 + [("g", "y")] * 2 + [("h", "z")] * 4
+    df = spark.createDataFrame(data, "g string, c string")
+    found = {r.g: r for r in chisquare.chisq_gof(df, ["g"], "c").collect()}
+    assert (found["g"].categories, found["g"].df, found["g"].observations) == (3, 2, 8)
+    e = 8 / 3
+    assert found["g"].statistic == pytest.approx(((6 - e) ** 2 + (2 - e) ** 2 + e**2) / e, rel=1e-12)
+    assert found["h"].statistic == pytest.approx(8.0, rel=1e-12)
+    fixed = chisquare.chisq_gof(df, ["g"], "c", categories=5).filter("g = 'h'").first()
+    assert (fixed.df, fixed.statistic) == (4, pytest.approx(16.0))
+
+
+def test_grouped_test_on_one_day(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("all", F.lit(1))
+    r = chisquare.chisq_gof(events, ["all"], "event_type").first()
+    assert (r.df, r.statistic) == (4, pytest.approx(1.25, rel=1e-12))
+
+
+# --- columns -------------------------------------------------------------------------------
+
+
+def test_summary(matrix):
+    df, cols = matrix
+    for r in columns.column_summary(df, cols).collect():
+        assert (r.n, r.non_zeros) == (3, 3)
+        assert (r.min, r.mean, r.max) == pytest.approx((r.i + 1, r.i + 2, r.i + 3))
+        assert (r.variance, r.l1) == pytest.approx((1.0, 3 * r.i + 6))
+        assert r.l2 == pytest.approx([3.74165739, 5.38516481, 7.07106781, 8.77496439][r.i], rel=1e-8)
+
+
+def test_covariance_and_gramian(matrix):
+    df, cols = matrix
+    assert cells(columns.covariance(df, cols)) == pytest.approx({(i, j): 1.0 for i in range(4) for j in range(4)})
+    gram = [[14, 20, 26, 32], [20, 29, 38, 47], [26, 38, 50, 62], [32, 47, 62, 77]]
+    expected = {(i, j): gram[i][j] for i in range(4) for j in range(4)}
+    assert cells(columns.gramian(df, cols)) == pytest.approx(expected)
+    assert len(cells(columns.column_dot(df, cols))) == 10
+
+
+def test_covariance_of_one_row_raises(spark, matrix):
+    df, cols = matrix
+    with pytest.raises(Exception):
+        columns.covariance(df.limit(1), cols).collect()
+
+
+def test_cosine(matrix):
+    df, cols = matrix
+    expected = {
+        (0, 1): 0.9925833339709303, (0, 2): 0.9827076298239908, (0, 3): 0.9746318461970762,
+        (1, 2): 0.9979288897338913, (1, 3): 0.9946115458726394, (2, 3): 0.9992204753914715,
+    }
+    assert cells(columns.column_cosine(df, cols)) == pytest.approx(expected, rel=1e-12)
+    near = columns.column_cosine_sampled(df, cols, 0.99, exact=True)
+    assert set(cells(near)) == {(0, 1), (1, 2), (1, 3), (2, 3)}
+
+
+def test_cosine_skips_zero_columns(spark):
+    df = spark.createDataFrame([(1.0, 0.0, 2.0), (2.0, 0.0, 4.0)], "a double, b double, c double")
+    expected = {(0, 2): pytest.approx(1.0)}
+    assert cells(columns.column_cosine(df, ["a", "b", "c"])) == expected
+    features = columns.row_matrix(df, ["a", "b", "c"])
+    assert cells(columns.column_cosine(features, "features")) == expected
+
+
+def test_sampled_cosine(matrix):
+    df, cols = matrix
+    found = cells(columns.column_cosine_sampled(df, cols, 0.5, exact=False))
+    assert set(found) <= {(i, j) for i in range(4) for j in range(i + 1, 4)}
+    assert all(-1 <= v <= 1 for v in found.values())
+    with pytest.raises(ValueError):
+        columns.column_cosine_sampled(df, cols, -0.1)
+    assert cells(columns.column_cosine_sampled(df, cols, 1.5, exact=True)) == {}
+
+
+# --- decompositions ------------------------------------------------------------------------
+
+
+def test_first_component(matrix):
+    df, cols = matrix
+    found = decomposition.principal_components(df, cols, 3)
+    first = rows(found.filter("component = 0").select("value", "explained"), "i")
+    assert first == [pytest.approx((0.5, 1.0))] * 4
+    with pytest.raises(ValueError):
+        decomposition.principal_components(df, cols, 5)
+
+
+def test_svd(matrix):
+    df, cols = matrix
+    found = decomposition.svd(df, cols, 4)
+    assert list(found.sigma) == pytest.approx([13.011193721236575, 0.8419251442105343], rel=1e-9)
+    assert list(found.right[:, 0]) == pytest.approx([0.28302330, 0.41323283, 0.54344235, 0.67365188], rel=1e-7)
+    assert found.right_vectors(df).count() == 8
+    with pytest.raises(ValueError):
+        decomposition.svd(df, cols, 5)
+
+
+def test_left_rows_keep_their_id(narrow):
+    df = narrow.withColumn("row_id", (F.col("a") * 10).cast("long"))
+    found = decomposition.svd(df, NAMES, 4)
+    left = decomposition.svd_left_rows(df, "row_id", NAMES, found)
+    u = {(r, c): v for r, c, v in rows(left)}
+    assert [u[r, 0] for r in (10, 20, 30)] == pytest.approx([0.41767294, 0.56472711, 0.71178129], rel=1e-7)
+    for a in range(2):
+        for b in range(2):
+            assert sum(u[r, a] * u[r, b] for r in (10, 20, 30)) == pytest.approx(float(a == b), abs=1e-6)
+
+
+def test_spectrum(spark):
+    df = spark.createDataFrame([(0, 4.0), (1, 3.0), (2, 1.0)], "k long, sigma double")
+    found = rows(decomposition.cumulative_spectrum(df), "k")
+    assert [r[2:] for r in found] == [(4.0, 0.5), (7.0, 0.875), (8.0, 1.0)]
+
+
+def test_grid(spark):
+    matrix = spark.createDataFrame([(r, c, r * 10.0 + c) for r in range(6) for c in range(2)],
+                                   "row_id long, component long, value double")
+    found = {(c, y, x): (label, v) for c, label, y, x, v in rows(decomposition.component_grid(matrix, 2, 3))}
+    assert found[1, 1, 0] == (2, 31.0) and len(found) == 12
+    with pytest.raises(ValueError):
+        decomposition.component_grid(matrix, 2, 2)
+
+
+def test_results_do_not_depend_on_partitioning(spark):
+    rng = random.Random(2)
+    data = [tuple(rng.gauss(0, 1) for _ in range(3)) for _ in range(500)]
+    df = spark.createDataFrame(data, "a double, b double, c double")
+    for build in (columns.gramian, columns.covariance, columns.column_cosine):
+        first, *others = [cells(build(df.repartition(p), ["a", "b", "c"])) for p in (1, 4, 13)]
+        assert all(o == pytest.approx(first, rel=1e-9, abs=1e-9) for o in others)
+
+
+# --- text matrices -------------------------------------------------------------------------
+
+
+def test_read_numeric_matrix(spark, tmp_path):
+    path = tmp_path / "pc.csv"
+    path.write_text("".join(f"{i}.5,{i * 2},-1e-3\n" for i in range(50)))
+    found = matrices.read_numeric_matrix(spark, str(path))
+    assert rows(columns.matrix_shape(found)) == [(50, 3)]
+    assert rows(found, "row_id")[7] == (7, [7.5, 14.0, -0.001])
+    assert matrices.matrix_cells(found).count() == 150
+
+
+def test_spectrum_file(spark, tmp_path):
+    path = tmp_path / "s.csv"
+    path.write_text("3.0\n2.0\n1.0\n")
+    found = matrices.read_numeric_matrix(spark, str(path))
+    assert rows(columns.matrix_shape(found)) == [(3, 1)]
+
+
+@pytest.mark.parametrize("text", ["1,2\n3\n", "1,2\n3,x\n"])
+def test_bad_matrix_is_rejected(spark, tmp_path, text):
+    path = tmp_path / "bad.csv"
+    path.write_text(text)
+    with pytest.raises(ValueError):
+        matrices.read_numeric_matrix(spark, str(path))
