@@ -58,13 +58,32 @@ def with_order_bucket(df: DataFrame, order_by: str, cuts: list[float]) -> DataFr
     return bucketizer.transform(keyed).withColumn("_bucket", F.col("_bucket").cast("int")).drop("_key")
 
 
-def _bucket_offsets(bucketed: DataFrame, amount: Column) -> DataFrame:
-    """Total of ``amount`` in all earlier buckets; one row per bucket."""
+def _bucket_offsets(bucketed: DataFrame, names: list[str]) -> DataFrame:
+    """Sum of each column over all earlier buckets, as ``_before_<name>``; a row per bucket."""
     earlier = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    sums = bucketed.groupBy("_bucket").agg(*[F.sum(n).alias(n) for n in names])
+    return sums.select(
+        "_bucket",
+        *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_before_{n}") for n in names],
+    )
+
+
+def running_counts(
+    df: DataFrame, conditions: dict[str, Column], order_by: str, buckets: int | None = None
+) -> DataFrame:
+    """Add, per name, how many rows up to and including this one satisfy the condition.
+
+    ``order_by`` must be unique. All counts share one shuffle of the rows by order bucket.
+    """
+    names = list(conditions)
+    hits = {n: F.when(c, 1).otherwise(0).cast("long") for n, c in conditions.items()}
+    cuts = order_cuts(df, order_by, buckets or default_buckets(df))
+    bucketed = with_order_bucket(df.withColumns(hits), order_by, cuts)
+    so_far = W.partitionBy("_bucket").orderBy(order_by).rowsBetween(W.unboundedPreceding, 0)
     return (
-        bucketed.groupBy("_bucket")
-        .agg(F.sum(amount).alias("_amount"))
-        .select("_bucket", F.coalesce(F.sum("_amount").over(earlier), F.lit(0)).alias("_offset"))
+        bucketed.join(F.broadcast(_bucket_offsets(bucketed, names)), "_bucket")
+        .withColumns({n: F.col(f"_before_{n}") + F.sum(n).over(so_far) for n in names})
+        .drop("_bucket", *[f"_before_{n}" for n in names])
     )
 
 
@@ -72,15 +91,8 @@ def row_position(
     df: DataFrame, order_by: str, name: str = "pos", buckets: int | None = None
 ) -> DataFrame:
     """Add the 0-based position of each row in the order of a unique ``order_by`` column."""
-    cuts = order_cuts(df, order_by, buckets or default_buckets(df))
-    bucketed = with_order_bucket(df, order_by, cuts)
-    offsets = _bucket_offsets(bucketed, F.lit(1).cast("long"))
-    local = F.row_number().over(W.partitionBy("_bucket").orderBy(order_by))
-    return (
-        bucketed.join(F.broadcast(offsets), "_bucket")
-        .withColumn(name, F.col("_offset") + local - 1)
-        .drop("_bucket", "_offset")
-    )
+    counted = running_counts(df, {name: F.lit(True)}, order_by, buckets)
+    return counted.withColumn(name, F.col(name) - 1)
 
 
 def sorted_position(df: DataFrame, *keys: Column | str, name: str = "pos") -> DataFrame:
@@ -103,34 +115,15 @@ def sorted_position(df: DataFrame, *keys: Column | str, name: str = "pos") -> Da
         materialize(ranged, "sorted")
         .withColumn("_bucket", F.shiftright("_id", _ID_BITS).cast("int"))
         .withColumn("_local", F.col("_id").bitwiseAND(F.lit((1 << _ID_BITS) - 1)))
+        .withColumn("_one", F.lit(1).cast("long"))
     )
-    offsets = _bucket_offsets(stored, F.lit(1).cast("long"))
+    offsets = _bucket_offsets(stored, ["_one"])
     if partitions <= MAX_BUCKETS:
         offsets = F.broadcast(offsets)
     return (
         stored.join(offsets, "_bucket")
-        .withColumn(name, F.col("_offset") + F.col("_local"))
-        .drop("_bucket", "_local", "_offset", "_id")
-    )
-
-
-def running_count(
-    df: DataFrame,
-    condition: Column,
-    order_by: str,
-    name: str = "running",
-    buckets: int | None = None,
-) -> DataFrame:
-    """Add how many rows satisfy ``condition`` up to and including this one."""
-    hit = F.when(condition, 1).otherwise(0).cast("long")
-    cuts = order_cuts(df, order_by, buckets or default_buckets(df))
-    bucketed = with_order_bucket(df.withColumn("_hit", hit), order_by, cuts)
-    offsets = _bucket_offsets(bucketed, F.col("_hit"))
-    so_far = W.partitionBy("_bucket").orderBy(order_by).rowsBetween(W.unboundedPreceding, 0)
-    return (
-        bucketed.join(F.broadcast(offsets), "_bucket")
-        .withColumn(name, F.col("_offset") + F.sum("_hit").over(so_far))
-        .drop("_bucket", "_offset", "_hit")
+        .withColumn(name, F.col("_before__one") + F.col("_local"))
+        .drop("_bucket", "_local", "_one", "_before__one", "_id")
     )
 
 

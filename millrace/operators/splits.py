@@ -12,7 +12,7 @@ from millrace.functions.fields import leading_number
 from millrace.functions.ordering import (
     group_ordinal,
     row_position,
-    running_count,
+    running_counts,
     sorted_position,
 )
 
@@ -30,28 +30,11 @@ def capped_running_count(
     log: DataFrame, start: int, stop: int, max_test: int, order_by: str = "pos"
 ) -> DataFrame:
     """Add ``held``: rows held out so far, which stops growing at ``max_test`` (if positive)."""
-    counted = running_count(user_ordinal(log, order_by), in_range(start, stop), order_by, "held")
+    ranked = user_ordinal(log, order_by)
+    counted = running_counts(ranked, {"held": in_range(start, stop)}, order_by)
     return counted.withColumn("held", F.least("held", F.lit(max_test))) if max_test > 0 else counted
 
 
-def _last_held_out(candidates: DataFrame, order_by: str, max_test: int) -> Column | None:
-    """Order value of the ``max_test``-th candidate; None when the cap is not reached."""
-    last = (
-        row_position(candidates.select(order_by), order_by, "_place")
-        .filter(F.col("_place") == max_test - 1)
-        .first()
-    )
-    return None if last is None else F.lit(last[order_by])
-
-
-def _held_out(ranked: DataFrame, start: int, stop: int, max_test: int, order_by: str) -> Column:
-    candidate = in_range(start, stop)
-    if max_test <= 0:
-        return candidate
-    last = _last_held_out(ranked.filter(candidate), order_by, max_test)
-    return candidate if last is None else candidate & (F.col(order_by) <= last)
-
-
 def route_rows(
     log: DataFrame, start: int, stop: int, max_test: int = 0, order_by: str = "pos"
 ) -> DataFrame:
@@ -60,8 +43,11 @@ def route_rows(
     A row is held out when it is its user's ``start``-th to ``stop``-th row and fewer than
     ``max_test`` earlier rows were; ``max_test <= 0`` means no cap.
     """
-    ranked = user_ordinal(log, order_by)
-    return ranked.withColumn("held_out", _held_out(ranked, start, stop, max_test, order_by))
+    ranked, candidate = user_ordinal(log, order_by), in_range(start, stop)
+    if max_test <= 0:
+        return ranked.withColumn("held_out", candidate)
+    counted = running_counts(ranked, {"_held": candidate}, order_by)
+    return counted.withColumn("held_out", candidate & (F.col("_held") <= max_test)).drop("_held")
 
 
 def split_leave_range(
@@ -78,11 +64,14 @@ def slice_rows(positioned: DataFrame, start: int, stop: int) -> DataFrame:
     return positioned.filter((F.col("pos") >= start) & (F.col("pos") < stop))
 
 
+def _fold(total: int, folds: int) -> Column:
+    return F.expr(f"(pos * {folds}L) div {max(total, 1)}L") + 1
+
+
 def assign_folds(log: DataFrame, folds: int = 5, order_by: str = "pos") -> DataFrame:
     """Add ``pos`` and ``fold`` (1-based): contiguous blocks of equal size, give or take one."""
-    total = max(log.count(), 1)
     positioned = log if order_by == "pos" else row_position(log, order_by)
-    return positioned.withColumn("fold", F.expr(f"(pos * {folds}L) div {total}L") + 1)
+    return positioned.withColumn("fold", _fold(log.count(), folds))
 
 
 def kfold_test(log: DataFrame, fold: int, folds: int = 5, order_by: str = "pos") -> DataFrame:
@@ -102,15 +91,23 @@ def split_suite(
 ) -> DataFrame:
     """All splits as columns of one frame: ``fold`` and one boolean ``in_<name>`` per range.
 
-    Every test and base set is a filter on these columns; nothing is copied per split.
+    Positions and capped counts come from the same shuffle by order bucket. Every test and base set is a filter on these columns; nothing is copied per split.
     """
     ranges = ranges or {"ua": (1, 10), "ub": (11, 20)}
-    ranked = user_ordinal(assign_folds(log, folds, order_by), order_by)
-    marks = {
-        f"in_{name}": _held_out(ranked, start, stop, max_test, order_by)
-        for name, (start, stop) in ranges.items()
-    }
-    return ranked.withColumns(marks).drop("ordinal")
+    ranked = user_ordinal(log, order_by)
+    candidates = {name: in_range(*bounds) for name, bounds in ranges.items()}
+    counts = {f"_{name}": candidate for name, candidate in candidates.items()}
+    if order_by != "pos":
+        counts["pos"] = F.lit(True)
+    counted = running_counts(ranked, counts, order_by)
+    if order_by != "pos":
+        counted = counted.withColumn("pos", F.col("pos") - 1)
+    marks = {}
+    for name, candidate in candidates.items():
+        free = F.lit(max_test <= 0) | (F.col(f"_{name}") <= max_test)
+        marks[f"in_{name}"] = candidate & free
+    fold = _fold(log.count(), folds)
+    return counted.withColumns({"fold": fold, **marks}).drop("ordinal", *[f"_{n}" for n in ranges])
 
 
 def _rating_order(log: DataFrame) -> list[Column]:
