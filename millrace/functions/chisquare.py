@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 # fixed values: method name, null hypothesis and the wording of the four outcomes
 METHOD = "pearson"
@@ -20,59 +18,72 @@ PRESUMPTIONS = [
 NO_PRESUMPTION = "No presumption against null hypothesis"
 
 
-def _log_add(total: Column, term: Column) -> Column:
-    return F.greatest(total, term) + F.log1p(F.exp(-F.abs(total - term)))
+def _steps(first: int, last: Column) -> Column:
+    """The numbers from ``first`` to ``last``; empty when there are none."""
+    counted = F.sequence(F.lit(first), F.greatest(last, F.lit(first)))
+    return F.when(last >= first, counted).otherwise(F.array().cast("array<int>"))
 
 
-def _even_tail(half: Column, df: Column) -> Column:
-    """``exp(-h) * sum(h^i / i!, i < df/2)``, summed in logs so that no term overflows."""
-    last = (df / 2).cast("int") - 1
-    steps = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(
-        F.array().cast("array<int>")
-    )
-    zero = F.lit(0.0)
+def _log_series(log_first: Column, half: Column, steps: Column, shift: float) -> Column:
+    """Log of t + t*h/(s1-shift) + t*h/(s1-shift)*h/(s2-shift) + ...; nothing overflows."""
 
     def add(state: Column, i: Column) -> Column:
-        term = state["term"] + F.log(half) - F.log(i.cast("double"))
-        return F.struct(term.alias("term"), _log_add(state["total"], term).alias("total"))
+        term = state["term"] + F.log(half) - F.log(i - F.lit(shift))
+        larger = F.greatest(state["total"], term)
+        total = larger + F.log1p(F.exp(-F.abs(state["total"] - term)))
+        return F.struct(term.alias("term"), total.alias("total"))
 
-    start = F.struct(zero.alias("term"), zero.alias("total"))
-    log_sum = F.aggregate(steps, start, add, lambda state: state["total"])
-    return F.when(half <= 0, F.lit(1.0)).otherwise(F.exp(log_sum - half))
+    start = F.struct(log_first.alias("term"), log_first.alias("total"))
+    return F.aggregate(steps, start, add, lambda state: state["total"])
 
 
-@F.pandas_udf(DoubleType())
-def _odd_tail(half: pd.Series, df: pd.Series) -> pd.Series:
-    """``erfc(sqrt(h)) + exp(-h) * sum(h^(i-1/2) / gamma(i+1/2), 1 <= i <= (df-1)/2)``."""
+def _even_tail(half: Column, df: Column) -> Column:
+    """``exp(-h) * sum(h^i / i!, 0 <= i < df/2)``."""
+    last = (df / 2).cast("int") - 1
+    return F.exp(_log_series(F.lit(0.0), half, _steps(1, last), 0.0) - half)
+
+
+def _erfc_of_root(half: Column) -> Column:
+    """Complementary error function of ``sqrt(h)``: a series below 9, a continued fraction above."""
+    terms = F.sequence(F.lit(1), F.lit(80))
+    near = F.aggregate(
+        terms,
+        F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total")),
+        lambda s, n: F.struct(
+            (s["term"] * 2 * half / (2 * n + 1)).alias("term"),
+            (s["total"] + s["term"] * 2 * half / (2 * n + 1)).alias("total"),
+        ),
+        lambda s: s["total"],
+    )
+    far = F.aggregate(
+        F.reverse(terms), F.lit(1.0), lambda f, n: F.lit(1.0) + n / (F.lit(2.0) * half) / f
+    )
+    scale = F.exp(-half) / math.sqrt(math.pi)
+    return F.when(half < 9, 1 - 2 * F.sqrt(half) * scale * near).otherwise(
+        scale / F.sqrt(half) / far
+    )
 
-    def tail(h: float, k: float) -> float:
-        if not (h >= 0 and k % 2 == 1):
-            return math.nan
-        total = math.erfc(math.sqrt(h))
-        if h > 0:
-            for i in range(1, int(k) // 2 + 1):
-                total += math.exp((i - 0.5) * math.log(h) - math.lgamma(i + 0.5) - h)
-        return total
 
-    return pd.Series([tail(h, k) for h, k in zip(half, df)], dtype="float64")
+def _odd_tail(half: Column, df: Column) -> Column:
+    """``erfc(sqrt(h)) + exp(-h) * sum(h^(i-1/2) / gamma(i+1/2), 1 <= i <= (df-1)/2)``."""
+    last = ((df - 1) / 2).cast("int")
+    log_first = F.log(half) / 2 + math.log(2 / math.sqrt(math.pi))
+    rest = F.exp(_log_series(log_first, half, _steps(2, last), 0.5) - half)
+    return _erfc_of_root(half) + F.when(last >= 1, rest).otherwise(0.0)
 
 
-def chisq_pvalue(statistic: Column, df: Column, odd: bool = True) -> Column:
+def chisq_pvalue(statistic: Column, df: Column) -> Column:
     """Probability of a chi-square value of at least ``statistic`` at ``df`` degrees.
 
-    Even degrees are a closed form in SQL. Odd degrees need the complementary error
-    function, which Spark SQL lacks, so they use a pandas UDF; pass ``odd=False`` to leave it
-    out of the plan when the degrees are known to be even.
+    Closed forms with positive terms only, so the far tail keeps its accuracy.
     """
     half = statistic / 2
-    undefined = statistic.isNull() | F.isnan(statistic)
-    even_value = _even_tail(half, df)
-    if odd:
-        other = _odd_tail(half.cast("double"), df.cast("double"))
-    else:
-        other = F.raise_error(F.lit("odd degrees of freedom")).cast("double")
-    value = F.when(df == 0, F.lit(1.0)).when(df % 2 == 0, even_value).otherwise(other)
-    return F.when(undefined, F.lit(float("nan"))).otherwise(value)
+    return (
+        F.when(statistic.isNull() | F.isnan(statistic), F.lit(float("nan")))
+        .when((df == 0) | (half <= 0), F.lit(1.0))
+        .when(df % 2 == 0, _even_tail(half, df))
+        .otherwise(_odd_tail(half, df))
+    )
 
 
 def presumption(p: Column) -> Column:

@@ -63,9 +63,9 @@ def chisq_gof_vectors(df: DataFrame, observed: str) -> DataFrame:
     return df.withColumns({"df": (size - 1).cast("long"), "statistic": statistic})
 
 
-def with_pvalue(tests: DataFrame, odd: bool = True) -> DataFrame:
+def with_pvalue(tests: DataFrame) -> DataFrame:
     """Add ``p_value`` to rows of (``df``, ``statistic``)."""
-    return tests.withColumn("p_value", chisq_pvalue(F.col("statistic"), F.col("df"), odd))
+    return tests.withColumn("p_value", chisq_pvalue(F.col("statistic"), F.col("df")))
 
 
 def with_verdict(tests: DataFrame) -> DataFrame:

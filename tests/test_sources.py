@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,3 +80,23 @@ def test_split_suite_matches_single_splits(log):
         one = splits.split_leave_range(log, start, stop, 70, "event_id").filter("part = 'test'")
         assert suite.filter(name).count() == one.count() == 70
         assert suite.filter(name).join(one, "event_id").count() == 70
+
+
+def test_tasks_run_without_the_package_on_their_path(tmp_path):
+    """Worker processes import nothing from the package, wherever the driver finds it."""
+    script = tmp_path / "job.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = (SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')\n"
+        "    .config('spark.sql.shuffle.partitions', '2').getOrCreate())\n"
+        "from millrace.plans.itemcf import itemcf\n"
+        "data = [(1, 1, 5.0), (1, 2, 1.0), (2, 1, 5.0), (2, 3, 1.0)]\n"
+        "print('found', itemcf(spark.createDataFrame(data, 'userid long, itemid long, pref double')).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
+    )
+    assert "found 2" in done.stdout, done.stderr[-2000:]

@@ -78,9 +78,16 @@ def test_pvalue_against_series(spark, k):
         assert p == pytest.approx(gamma_tail(s / 2, k), rel=1e-9, abs=1e-12)
 
 
+def test_pvalue_at_one_degree(spark):
+    statistics = [1e-12, 0.01, 1.0, 8.0, 17.9, 18.0, 18.1, 60.0, 700.0, 1300.0]
+    df = spark.createDataFrame([(1, s) for s in statistics], "df long, statistic double")
+    for _, s, p in rows(chisquare.with_pvalue(df)):
+        assert p == pytest.approx(math.erfc(math.sqrt(s / 2)), rel=1e-10)
+
+
 def test_pvalue_far_out(spark):
     df = spark.createDataFrame([(4, 2000.0), (2, 1400.0), (100_000, 100_000.0)], "df long, statistic double")
-    far, exponential, middle = [p for _, _, p in rows(chisquare.with_pvalue(df, odd=False))]
+    far, exponential, middle = [p for _, _, p in rows(chisquare.with_pvalue(df))]
     assert far == 0.0 or far < 1e-300
     assert exponential == pytest.approx(math.exp(-700), rel=1e-9)
     assert middle == pytest.approx(0.5, abs=0.01)
