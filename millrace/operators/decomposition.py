@@ -5,10 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.columns import Columns, feature_array, matrix_entries, mllib_rows, vectors
 
@@ -71,6 +73,18 @@ def svd(df: DataFrame, columns: Columns, k: int, rcond: float = 1e-7) -> Decompo
     return Decomposition(found.s.toArray(), right * _sign(right))
 
 
+def _projection(weights: np.ndarray):
+    """Arrow-batched ``features -> features . weights``."""
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def project(features: pd.Series) -> pd.Series:
+        if features.empty:
+            return features
+        return pd.Series(list(np.stack(features.to_numpy()) @ weights))
+
+    return project
+
+
 def svd_left_rows(
     df: DataFrame, row_id: str, columns: Columns, decomposition: Decomposition
 ) -> DataFrame:
@@ -78,17 +92,12 @@ def svd_left_rows(
 
     A projection of each row, so rows keep their id and nothing is shuffled.
     """
-    weights = (decomposition.right / decomposition.sigma).T
-    zero = F.lit(0.0)
-
-    def component(weight: np.ndarray):
-        scaled = F.zip_with("_x", F.lit([float(w) for w in weight]), lambda x, w: x * w)
-        return F.aggregate(scaled, zero, lambda a, x: a + x)
-
-    projected = df.select(F.col(row_id), feature_array(columns).alias("_x")).select(
-        row_id, F.posexplode(F.array(*[component(w) for w in weights])).alias("component", "value")
+    project = _projection(decomposition.right / decomposition.sigma)
+    left = project(feature_array(columns))
+    entries = df.select(row_id, left.alias("_left")).select(
+        row_id, F.posexplode("_left").alias("component", "value")
     )
-    return projected.withColumn("component", F.col("component").cast("long"))
+    return entries.withColumn("component", F.col("component").cast("long"))
 
 
 def cumulative_spectrum(spectrum: DataFrame) -> DataFrame:

@@ -440,6 +440,19 @@ def svd_left_rows(spark, sf_dir):
     return rounded(columns.gramian(per_row, ["0", "1", "2", "3"]), 6, "value")
 
 
+@query
+def svd_reconstruction(spark, sf_dir):
+    """All left vectors times singular values and right vectors give the embeddings back."""
+    rows = relations.embeddings(spark, sf_dir)
+    found = decomposition.svd(rows, "features", 64)
+    left = decomposition.svd_left_rows(rows, "row_id", "features", found)
+    right = found.right_vectors(rows).withColumnRenamed("value", "right")
+    scaled = right.join(found.spectrum(rows).withColumnRenamed("k", "component"), "component")
+    cells = left.join(scaled, "component").groupBy("row_id", "i")
+    total = F.sum(F.col("value") * F.col("sigma") * F.col("right"))
+    return rounded(cells.agg(total.alias("value")), 6, "value")
+
+
 @query
 def cumulative_spectrum(spark, sf_dir):
     """Running sum over the column norms of the embeddings."""
@@ -481,6 +494,13 @@ def item_recommend(spark, sf_dir):
     return rounded(recommend.item_recommend(sim, ratings), 6, "pref")
 
 
+@query
+def recommend_topn(spark, sf_dir):
+    """The 30 best-rated items of each user."""
+    rated = similarity.average_ratings(relations.ratings(spark, sf_dir))
+    return rounded(recommend.recommend_topn(rated, 30), 6, "pref")
+
+
 @query
 def recommendation_size(spark, sf_dir):
     found = itemcf.itemcf(relations.ratings(spark, sf_dir))

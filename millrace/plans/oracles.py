@@ -243,6 +243,8 @@ SQL["svd_energy"] = f"""WITH {EMB} SELECT count(DISTINCT i) AS n_values,
   round(sum(x * x), 6) + 0.0 AS energy FROM emb"""
 SQL["svd_left_rows"] = """SELECT a.i, b.i AS j, CASE WHEN a.i = b.i THEN 1.0 ELSE 0.0 END::DOUBLE AS value
 FROM range(4) a(i) CROSS JOIN range(4) b(i)"""
+SQL["svd_reconstruction"] = f"""WITH {EMB} SELECT vec_id AS row_id, i::BIGINT AS i,
+  {_rounded("x", 6).replace("AS x", "AS value")} FROM emb"""
 SQL["cumulative_spectrum"] = f"""WITH {EMB},
 spectrum AS (SELECT i AS k, sqrt(sum(x * x)) AS sigma FROM emb GROUP BY i),
 summed AS (SELECT k, sigma, sum(sigma) OVER (ORDER BY k) AS cumulative,
@@ -259,6 +261,10 @@ SELECT itemid1, itemid2, round("similar", 9) + 0.0 AS "similar" FROM sim"""
 SQL["similarity_size"] = f"WITH {RAT}, {SIM} SELECT count(*) AS pairs FROM sim"
 SQL["item_recommend"] = f"""WITH {RAT}, {SIM}, {REC}
 SELECT userid, itemid, {_rounded("pref", 6)}, rank FROM rec"""
+SQL["recommend_topn"] = f"""WITH {RAT}
+SELECT userid, itemid, {_rounded("pref", 6)},
+  row_number() OVER (PARTITION BY userid ORDER BY round(pref, 9) DESC, itemid) AS rank
+FROM rat QUALIFY rank <= 30"""
 SQL["recommendation_size"] = f"WITH {RAT}, {SIM}, {REC} SELECT count(*) AS recommendations FROM rec"
 SQL["itemcf_from_lines"] = f"""WITH {RAT_TEXT}, {SIM}, {REC}
 SELECT userid, itemid, {_rounded("pref", 6)}, rank FROM rec"""
