@@ -91,7 +91,8 @@ def split_suite(
 ) -> DataFrame:
     """All splits as columns of one frame: ``fold`` and one boolean ``in_<name>`` per range.
 
-    Positions and capped counts come from the same shuffle by order bucket. Every test and base set is a filter on these columns; nothing is copied per split.
+    Positions and capped counts come from the same shuffle by order bucket. Every test and
+    base set is a filter on these columns; nothing is copied per split.
     """
     ranges = ranges or {"ua": (1, 10), "ub": (11, 20)}
     ranked = user_ordinal(log, order_by)
