@@ -2,34 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``.
+    """Folder named by ``spark.checkpoint.dir``, or else the session's warehouse folder.
 
-    A temporary folder stands in only when the setting is missing and the master
-    is local, where the driver and all tasks see the same disk.
+    Both are the application's own choice of a place that the driver and all executors reach.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="millrace-")
-    return _local_dirs[app]
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """Unused path under the shared folder."""
-    return f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    """Unused path under the shared folder; ``discard_all`` deletes what was written there."""
+    path = f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def store(df: DataFrame, label: str) -> str:
+    """Write ``df`` once to shared storage; returns the path."""
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -38,6 +38,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage, so a lost executor costs a re-read instead of a recomputation, and
     gives the planner exact sizes, column pruning and a row count from file footers.
     """
-    path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(store(df, label))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a path made by ``new_path``; a path that was never written is fine."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    made = _made.get(spark.sparkContext.applicationId, [])
+    if path in made:
+        made.remove(path)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete everything this application stored; results that read it must be done with."""
+    for path in list(_made.get(spark.sparkContext.applicationId, [])):
+        discard(spark, path)
