@@ -12,6 +12,7 @@ from millrace.llm import (
     decontamination,
     line_dedup,
     quality,
+    simhash,
     token_counts,
 )
 from millrace.llm.rows import read
@@ -25,6 +26,11 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op3_simhash(spark, sf_dir):
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), width=4, distance=4, seed=42)
+
+
 @query
 def op4_token_counts(spark, sf_dir):
     """For every encoded length in ``documents``, taken as context limit: exact totals."""
