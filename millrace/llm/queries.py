@@ -13,6 +13,8 @@ from millrace.llm import (
     line_dedup,
     quality,
     simhash,
+    substring_dedup,
+    suffix_dedup,
     token_counts,
 )
 from millrace.llm.rows import read
@@ -26,6 +28,12 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op2_substring_dedup(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return substring_dedup.remove_repeated_words(docs, width=50, with_text=False).drop("kept")
+
+
 @query
 def op3_simhash(spark, sf_dir):
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), width=4, distance=4, seed=42)
@@ -54,6 +62,12 @@ def op7_quality_rules(spark, sf_dir):
     return quality.quality_report(read(spark, sf_dir, "documents"))
 
 
+@query
+def op9_suffix_dedup(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return suffix_dedup.remove_repeated_bytes(docs, width=400, with_text=False).drop("kept")
+
+
 @query
 def op10_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup_report(read(spark, sf_dir, "documents"))
