@@ -2,6 +2,39 @@
 
 SQL: dict[str, str] = {}
 
+SQL["op1_url_filter"] = r"""
+WITH parts AS (
+  SELECT page_id, html,
+         CASE WHEN contains(url, '://') THEN translate(
+           regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+         CASE WHEN contains(url, '://') THEN
+           regexp_extract(url, '^[\s\S]*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM pages
+),
+listed AS (
+  SELECT DISTINCT host || path AS key FROM parts
+  WHERE contains(html, '###') OR contains(html, '***') OR contains(html, '%%%')
+     OR contains(html, '$$$') OR contains(html, '&&&')
+),
+rules(rule, name, start, verdict) AS (VALUES
+  ('com/', 'com', '/', 'allow'),
+  ('example.com/en/', 'example.com', '/en/', 'block'),
+  ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
+  ('net/es/', 'net', '/es/', 'block'),
+  ('net/fr/', 'net', '/fr/', 'block')
+),
+judged AS (
+  SELECT p.*, (
+    SELECT max_by(rule, length(rule)) FROM rules r
+    WHERE (p.host = r.name OR ends_with(p.host, '.' || r.name)) AND starts_with(p.path, r.start)
+  ) AS rule FROM parts p
+)
+SELECT j.page_id, j.host, j.path, j.rule,
+       coalesce(r.verdict, CASE WHEN l.key IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM judged j LEFT JOIN rules r ON j.rule = r.rule LEFT JOIN listed l ON l.key = j.host || j.path
+"""
+
 SQL["op10_line_dedup"] = r"""
 WITH lines AS (
   SELECT doc_id, rn, unnest(string_split(text, chr(10))) AS line,

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from public_tokenizers import path
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm import (
     byte_bpe,
@@ -16,6 +18,7 @@ from millrace.llm import (
     substring_dedup,
     suffix_dedup,
     token_counts,
+    url_filter,
 )
 from millrace.llm.rows import read
 
@@ -28,6 +31,26 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+URL_RULES = {
+    "com/": "allow",
+    "example.com/en/": "block",
+    "www.example.com/en/": "allow",
+    "net/es/": "block",
+    "net/fr/": "block",
+}
+JUNK_MARKS = ("###", "***", "%%%", "$$$", "&&&")
+
+
+@query
+def op1_url_filter(spark, sf_dir):
+    """The listed keys are host and path of every page whose markup has a junk mark."""
+    pages = read(spark, sf_dir, "pages")
+    junk = reduce(Column.__or__, [F.contains("html", F.lit(mark)) for mark in JUNK_MARKS])
+    host, path_ = url_filter.url_parts(F.col("url"))
+    listed = pages.filter(junk).select(F.concat(host, path_).alias("key"))
+    return url_filter.judge_urls(pages, URL_RULES, listed)
+
+
 @query
 def op2_substring_dedup(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
