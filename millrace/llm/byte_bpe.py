@@ -230,16 +230,21 @@ def token_count(path: str) -> Column:
     return count
 
 
-DIGESTS = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+DIGESTS = {
+    "n_tokens": pa.int64(),
+    "ids_sha256": pa.string(),
+    "decoded_sha256": pa.string(),
+    "ids": pa.list_(pa.int32()),
+}
 
 
-def bpe_digests(path: str) -> Column:
+def bpe_digests(path: str, with_ids: bool = False) -> Column:
     """Function of a text column: number and digest of its ids, digest of the decoded text.
 
-    Encodes and decodes in one pass, so that ids of a whole corpus need not be stored.
+    Encodes and decodes in one pass; the ids themselves are returned only if asked for.
     """
 
-    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>")
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = ByteBpe(path)
         for array in batches:
@@ -250,12 +255,14 @@ def bpe_digests(path: str) -> Column:
                     found["ids_sha256"].append(sha256(row.astype("<u4").tobytes()).hexdigest())
                     text = coder.decode(row)
                     found["decoded_sha256"].append(sha256(text.encode()).hexdigest())
+                    found["ids"].append(row.astype(np.int32) if with_ids else None)
             yield structs(found, DIGESTS)
 
     return digests
 
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     """``doc_id`` with the digests of its ids and of the text decoded from them."""
-    coded = docs.select("doc_id", bpe_digests(path)("text").alias("coded"))
-    return coded.select("doc_id", "coded.*")
+    coded = docs.select("doc_id", bpe_digests(path, with_ids)("text").alias("coded"))
+    names = [n for n in DIGESTS if with_ids or n != "ids"]
+    return coded.select("doc_id", *[f"coded.{n}" for n in names])
