@@ -1,8 +1,10 @@
 """Dense positions and running counts over a global order, without a single-partition window.
 
 Rows are assigned to order buckets by *value* (cut points are approximate quantiles of the
-order column), so a recomputed task makes the same assignment. Only the per-bucket counts,
-at most ``MAX_BUCKETS`` rows, are cumulated and broadcast; ranking happens inside a bucket.
+order column), so a recomputed task makes the same assignment. Only the per-bucket counts
+are cumulated; ranking happens inside a bucket. The number of buckets follows
+``spark.sql.shuffle.partitions``. Rows whose order key is null come first, in a bucket of
+their own; NaN comes last.
 """
 
 from __future__ import annotations
@@ -17,14 +19,12 @@ from pyspark.sql import types as T
 
 from millrace.storage import materialize
 
-MAX_BUCKETS = 10_000
-
 _ID_BITS = 33  # monotonically_increasing_id: row number within the partition
+_NULL_BUCKET = -1
 
 
 def default_buckets(df: DataFrame) -> int:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(4 * partitions, MAX_BUCKETS)
+    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _order_key(df: DataFrame, order_by: str) -> Column:
@@ -38,6 +38,12 @@ def _order_key(df: DataFrame, order_by: str) -> Column:
     raise TypeError(f"order column {order_by!r} must be numeric, date or timestamp")
 
 
+def _row_order(df: DataFrame, order_by: str) -> list[Column]:
+    """The order column, then a hash of the row: rows without a key are told apart by it."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    return [F.col(order_by).asc_nulls_first(), F.xxhash64(*plain)]
+
+
 def order_cuts(df: DataFrame, order_by: str, buckets: int) -> list[float]:
     """At most ``buckets - 1`` increasing cut points that split ``df`` about evenly."""
     if buckets < 2:
@@ -49,49 +55,75 @@ def order_cuts(df: DataFrame, order_by: str, buckets: int) -> list[float]:
 
 def with_order_bucket(df: DataFrame, order_by: str, cuts: list[float]) -> DataFrame:
     """Add ``_bucket``: the index of the interval between cut points holding the row."""
-    if not cuts:
-        return df.withColumn("_bucket", F.lit(0))
     keyed = df.withColumn("_key", _order_key(df, order_by))
-    bucketizer = Bucketizer(
-        splits=[-math.inf, *cuts, math.inf], inputCol="_key", outputCol="_bucket"
-    )
-    return bucketizer.transform(keyed).withColumn("_bucket", F.col("_bucket").cast("int")).drop("_key")
+    if not cuts:
+        bucket = F.lit(0)
+    else:
+        keyed = Bucketizer(
+            splits=[-math.inf, *cuts, math.inf],
+            inputCol="_key",
+            outputCol="_bucket",
+            handleInvalid="keep",  # NaN goes behind the last interval
+        ).transform(keyed)
+        bucket = F.col("_bucket").cast("int")
+    known = F.when(F.col("_key").isNull(), _NULL_BUCKET).otherwise(bucket)
+    return keyed.withColumn("_bucket", known).drop("_key")
 
 
 def _bucket_offsets(bucketed: DataFrame, names: list[str]) -> DataFrame:
-    """Sum of each column over all earlier buckets, as ``_before_<name>``; a row per bucket."""
+    """Sum of each column over all earlier buckets, as ``_before_<name>``; a row per bucket.
+
+    ``_total`` is the number of rows in all buckets.
+    """
     earlier = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    sums = bucketed.groupBy("_bucket").agg(*[F.sum(n).alias(n) for n in names])
+    everything = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    sums = bucketed.groupBy("_bucket").agg(
+        F.count("*").alias("_size"), *[F.sum(n).alias(n) for n in names]
+    )
     return sums.select(
         "_bucket",
+        F.sum("_size").over(everything).alias("_total"),
         *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_before_{n}") for n in names],
     )
 
 
 def running_counts(
-    df: DataFrame, conditions: dict[str, Column], order_by: str, buckets: int | None = None
+    df: DataFrame,
+    conditions: dict[str, Column],
+    order_by: str,
+    buckets: int | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """Add, per name, how many rows up to and including this one satisfy the condition.
 
-    ``order_by`` must be unique. All counts share one shuffle of the rows by order bucket.
+    ``order_by`` must be unique, apart from nulls. All counts share one shuffle of the rows by
+    order bucket. ``total`` names a column for the number of all rows. The input is read for
+    the cut points, the bucket sums and the result, so an input that is expensive to compute
+    should be stored first.
     """
     names = list(conditions)
     hits = {n: F.when(c, 1).otherwise(0).cast("long") for n, c in conditions.items()}
     cuts = order_cuts(df, order_by, buckets or default_buckets(df))
+    order = _row_order(df, order_by)
     bucketed = with_order_bucket(df.withColumns(hits), order_by, cuts)
-    so_far = W.partitionBy("_bucket").orderBy(order_by).rowsBetween(W.unboundedPreceding, 0)
-    return (
-        bucketed.join(F.broadcast(_bucket_offsets(bucketed, names)), "_bucket")
-        .withColumns({n: F.col(f"_before_{n}") + F.sum(n).over(so_far) for n in names})
-        .drop("_bucket", *[f"_before_{n}" for n in names])
+    so_far = W.partitionBy("_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    counted = bucketed.join(_bucket_offsets(bucketed, names), "_bucket").withColumns(
+        {n: F.col(f"_before_{n}") + F.sum(n).over(so_far) for n in names}
     )
+    if total:
+        counted = counted.withColumn(total, F.col("_total"))
+    return counted.drop("_bucket", "_total", *[f"_before_{n}" for n in names])
 
 
 def row_position(
-    df: DataFrame, order_by: str, name: str = "pos", buckets: int | None = None
+    df: DataFrame,
+    order_by: str,
+    name: str = "pos",
+    buckets: int | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row in the order of a unique ``order_by`` column."""
-    counted = running_counts(df, {name: F.lit(True)}, order_by, buckets)
+    counted = running_counts(df, {name: F.lit(True)}, order_by, buckets, total)
     return counted.withColumn(name, F.col(name) - 1)
 
 
@@ -117,13 +149,10 @@ def sorted_position(df: DataFrame, *keys: Column | str, name: str = "pos") -> Da
         .withColumn("_local", F.col("_id").bitwiseAND(F.lit((1 << _ID_BITS) - 1)))
         .withColumn("_one", F.lit(1).cast("long"))
     )
-    offsets = _bucket_offsets(stored, ["_one"])
-    if partitions <= MAX_BUCKETS:
-        offsets = F.broadcast(offsets)
     return (
-        stored.join(offsets, "_bucket")
+        stored.join(_bucket_offsets(stored, ["_one"]), "_bucket")
         .withColumn(name, F.col("_before__one") + F.col("_local"))
-        .drop("_bucket", "_local", "_one", "_before__one", "_id")
+        .drop("_bucket", "_local", "_one", "_before__one", "_id", "_total")
     )
 
 
@@ -132,43 +161,38 @@ def group_ordinal(
 ) -> DataFrame:
     """Add the 1-based running row number within ``group``, in the order of ``order_by``.
 
-    Groups of at most ``hot_rows`` rows (or 1/10,000 of the input, if that is more) use one
-    window per group. Larger groups, of which there are fewer than 10,000, are ranked inside
-    (group, order bucket) and shifted by the count of the group's earlier buckets.
+    Groups of at most ``hot_rows`` rows use one window per group. Larger ones, however many
+    there are, are ranked inside (group, order bucket) and shifted by the count of the
+    group's earlier buckets; a null group is a group like any other.
     """
-    sizes = df.groupBy(group).agg(F.count("*").alias("_size"))
-    total, largest = sizes.agg(F.coalesce(F.sum("_size"), F.lit(0)), F.max("_size")).first()
-    limit = max(hot_rows, -(-total // MAX_BUCKETS))
-    in_group = F.row_number().over(W.partitionBy(group).orderBy(order_by)).cast("long")
-    if (largest or 0) <= limit:
+    sizes = df.groupBy(F.col(group).alias("_hot")).agg(F.count("*").alias("_size"))
+    hot = sizes.filter(F.col("_size") > hot_rows)
+    order = _row_order(df, order_by)
+    in_group = F.row_number().over(W.partitionBy(group).orderBy(*order)).cast("long")
+    large_rows = hot.agg(F.sum("_size")).first()[0]
+    if not large_rows:
         return df.withColumn(name, in_group)
 
-    # fewer than total / limit <= MAX_BUCKETS groups, so this side is safe to broadcast
-    hot = F.broadcast(sizes.filter(F.col("_size") > limit).select(F.col(group).alias("_hot")))
+    keys = hot.select("_hot")
     is_hot = F.col(group).eqNullSafe(F.col("_hot"))
-    regular = df.join(hot, is_hot, "left_anti").withColumn(name, in_group)
+    regular = df.join(keys, is_hot, "left_anti").withColumn(name, in_group)
 
-    large = df.join(hot, is_hot, "left_semi")
-    large_rows = sizes.filter(F.col("_size") > limit).agg(F.sum("_size")).first()[0]
-    cuts = order_cuts(large, order_by, min(2 * -(-large_rows // limit), 2 * MAX_BUCKETS))
+    large = df.join(keys, is_hot, "left_semi")
+    cuts = order_cuts(large, order_by, 2 * -(-large_rows // hot_rows))
     bucketed = with_order_bucket(large, order_by, cuts)
-    earlier = W.partitionBy(group).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("_group").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        bucketed.groupBy(group, "_bucket")
+        bucketed.groupBy(F.col(group).alias("_group"), F.col("_bucket").alias("_at"))
         .agg(F.count("*").alias("_amount"))
         .select(
-            F.col(group).alias("_group"),
-            F.col("_bucket").alias("_at"),
-            F.coalesce(F.sum("_amount").over(earlier), F.lit(0)).alias("_offset"),
+            "_group", "_at", F.coalesce(F.sum("_amount").over(earlier), F.lit(0)).alias("_offset")
         )
     )
-    local = F.row_number().over(W.partitionBy(group, "_bucket").orderBy(order_by))
+    local = F.row_number().over(W.partitionBy(group, "_bucket").orderBy(*order))
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_bucket") == F.col("_at"))
     ranked = (
         bucketed.withColumn("_local", local)
-        .join(
-            offsets,
-            F.col(group).eqNullSafe(F.col("_group")) & (F.col("_bucket") == F.col("_at")),
-        )
+        .join(offsets, same)
         .withColumn(name, F.col("_offset") + F.col("_local"))
     )
     return regular.unionByName(ranked.select(*df.columns, name))

@@ -5,6 +5,8 @@ The log carries a unique order column (``order_by``); ``userid`` and ``itemid``
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from millrace.functions.ordering import (
     running_counts,
     sorted_position,
 )
+from millrace.storage import materialize
 
 
 def user_ordinal(log: DataFrame, order_by: str = "pos", hot_rows: int = 1_000_000) -> DataFrame:
@@ -22,6 +25,11 @@ def user_ordinal(log: DataFrame, order_by: str = "pos", hot_rows: int = 1_000_00
     return group_ordinal(log, "userid", order_by, "ordinal", hot_rows)
 
 
+def _stored_ordinal(log: DataFrame, order_by: str) -> DataFrame:
+    """The log with ``ordinal``, computed once for the several passes of a running count."""
+    return materialize(user_ordinal(log, order_by), "ordinal")
+
+
 def in_range(start: int, stop: int) -> Column:
     return F.col("ordinal").between(start, stop)
 
@@ -30,7 +38,7 @@ def capped_running_count(
     log: DataFrame, start: int, stop: int, max_test: int, order_by: str = "pos"
 ) -> DataFrame:
     """Add ``held``: rows held out so far, which stops growing at ``max_test`` (if positive)."""
-    ranked = user_ordinal(log, order_by)
+    ranked = _stored_ordinal(log, order_by)
     counted = running_counts(ranked, {"held": in_range(start, stop)}, order_by)
     return counted.withColumn("held", F.least("held", F.lit(max_test))) if max_test > 0 else counted
 
@@ -43,10 +51,10 @@ def route_rows(
     A row is held out when it is its user's ``start``-th to ``stop``-th row and fewer than
     ``max_test`` earlier rows were; ``max_test <= 0`` means no cap.
     """
-    ranked, candidate = user_ordinal(log, order_by), in_range(start, stop)
+    candidate = in_range(start, stop)
     if max_test <= 0:
-        return ranked.withColumn("held_out", candidate)
-    counted = running_counts(ranked, {"_held": candidate}, order_by)
+        return user_ordinal(log, order_by).withColumn("held_out", candidate)
+    counted = running_counts(_stored_ordinal(log, order_by), {"_held": candidate}, order_by)
     return counted.withColumn("held_out", candidate & (F.col("_held") <= max_test)).drop("_held")
 
 
@@ -64,14 +72,18 @@ def slice_rows(positioned: DataFrame, start: int, stop: int) -> DataFrame:
     return positioned.filter((F.col("pos") >= start) & (F.col("pos") < stop))
 
 
-def _fold(total: int, folds: int) -> Column:
-    return F.expr(f"(pos * {folds}L) div {max(total, 1)}L") + 1
+def _fold(folds: int) -> Column:
+    """Fold of a row at ``pos`` of ``_rows``."""
+    return F.expr(f"(pos * {folds}L) div _rows") + 1
 
 
 def assign_folds(log: DataFrame, folds: int = 5, order_by: str = "pos") -> DataFrame:
     """Add ``pos`` and ``fold`` (1-based): contiguous blocks of equal size, give or take one."""
-    positioned = log if order_by == "pos" else row_position(log, order_by)
-    return positioned.withColumn("fold", _fold(log.count(), folds))
+    if order_by == "pos":
+        positioned = log.withColumn("_rows", log.agg(F.count("*")).scalar())
+    else:
+        positioned = row_position(log, order_by, total="_rows")
+    return positioned.withColumn("fold", _fold(folds)).drop("_rows")
 
 
 def kfold_test(log: DataFrame, fold: int, folds: int = 5, order_by: str = "pos") -> DataFrame:
@@ -95,40 +107,59 @@ def split_suite(
     base set is a filter on these columns; nothing is copied per split.
     """
     ranges = ranges or {"ua": (1, 10), "ub": (11, 20)}
-    ranked = user_ordinal(log, order_by)
+    ranked = _stored_ordinal(log, order_by)
     candidates = {name: in_range(*bounds) for name, bounds in ranges.items()}
     counts = {f"_{name}": candidate for name, candidate in candidates.items()}
     if order_by != "pos":
         counts["pos"] = F.lit(True)
-    counted = running_counts(ranked, counts, order_by)
+    counted = running_counts(ranked, counts, order_by, total="_rows")
     if order_by != "pos":
         counted = counted.withColumn("pos", F.col("pos") - 1)
     marks = {}
     for name, candidate in candidates.items():
         free = F.lit(max_test <= 0) | (F.col(f"_{name}") <= max_test)
         marks[f"in_{name}"] = candidate & free
-    fold = _fold(log.count(), folds)
-    return counted.withColumns({"fold": fold, **marks}).drop("ordinal", *[f"_{n}" for n in ranges])
+    marked = counted.withColumns({"fold": _fold(folds), **marks})
+    return marked.drop("ordinal", "_rows", *[f"_{n}" for n in ranges])
+
+
+def split_outputs(suite: DataFrame, folds: int = 5, ranges: Sequence[str] = ("ua", "ub")) -> DataFrame:
+    """The rows of every output of a :func:`split_suite`, with the output's name as ``split``.
+
+    A row is in ``u<fold>.test`` and in ``u<other>.base`` for the other folds, and in
+    ``<range>.test`` or ``<range>.base`` for each range.
+    """
+    names = [
+        F.concat(F.lit(f"u{k}."), F.when(F.col("fold") == k, "test").otherwise("base"))
+        for k in range(1, folds + 1)
+    ]
+    names += [F.concat(F.lit(f"{r}."), F.when(F.col(f"in_{r}"), "test").otherwise("base")) for r in ranges]
+    return suite.withColumn("split", F.explode(F.array(*names)))
 
 
-def _rating_order(log: DataFrame) -> list[Column]:
+def rating_order(log: DataFrame) -> list[Column]:
     """User, then item, both as numbers, then the rest of the row as text."""
     kinds = dict(log.dtypes)
     keys = [
         leading_number(F.col(c)) if kinds[c] == "string" else F.coalesce(F.col(c), F.lit(0))
         for c in ("userid", "itemid")
     ]
+    return [*keys, rating_line(log)]
+
+
+def rating_line(log: DataFrame) -> Column:
+    """The log's own line, or its columns separated by tabs; a null is an empty field."""
     if "value" in log.columns:
-        return [*keys, F.col("value")]
-    line = F.concat_ws("\t", *[F.col(c).cast("string") for c in log.columns])
-    return [*keys, line]
+        return F.col("value")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in log.columns]
+    return F.concat_ws("\t", *fields)
 
 
 def sort_ratings(log: DataFrame) -> DataFrame:
     """Global order by user, item (numerically) and then the whole line."""
-    return log.orderBy(*_rating_order(log))
+    return log.orderBy(*rating_order(log))
 
 
 def sorted_rating_position(log: DataFrame, name: str = "sort_pos") -> DataFrame:
     """Add each row's 0-based position in the order of :func:`sort_ratings`."""
-    return sorted_position(log, *_rating_order(log), name=name)
+    return sorted_position(log, *rating_order(log), name=name)

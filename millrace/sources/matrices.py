@@ -20,26 +20,29 @@ def parse_numeric_rows(lines: DataFrame, delimiter: str = ",") -> DataFrame:
     return lines.withColumn("features", features).drop("value")
 
 
-def check_numeric_rows(rows: DataFrame) -> DataFrame:
-    """Raise unless every row is numeric and as long as the others."""
-    low, high, bad = rows.agg(
-        F.min(F.size("features")),
-        F.max(F.size("features")),
-        F.count(F.when(F.exists("features", lambda x: x.isNull()), 1)),
-    ).first()
-    if bad:
-        raise ValueError(f"{bad} rows hold something that is not a number")
-    if low != high:
-        raise ValueError(f"rows have between {low} and {high} values")
-    return rows
+def check_numeric_rows(rows: DataFrame, width: int | None = None) -> DataFrame:
+    """Fail in the task that meets a row with something else than ``width`` numbers.
+
+    Without ``width``, rows must be as long as the longest one, which takes a pass of its own.
+    """
+    longest = F.lit(width) if width is not None else rows.agg(F.max(F.size("features"))).scalar()
+    numeric = ~F.exists("features", lambda x: x.isNull())
+    problem = F.when(~numeric, F.lit("a row holds something that is not a number")).when(
+        F.size("features") != longest, F.lit("rows differ in their number of values")
+    )
+    checked = F.when(problem.isNotNull(), F.raise_error(problem)).otherwise(F.col("features"))
+    return rows.withColumn("features", checked)
 
 
 def read_numeric_matrix(
-    spark: SparkSession, paths: str | Sequence[str], delimiter: str = ","
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    delimiter: str = ",",
+    width: int | None = None,
 ) -> DataFrame:
     """Text files as ``(row_id, features)`` in source order; rows must agree in length."""
     lines = numbered_lines(spark, paths).withColumnRenamed("pos", "row_id")
-    return check_numeric_rows(parse_numeric_rows(lines, delimiter))
+    return check_numeric_rows(parse_numeric_rows(lines, delimiter), width)
 
 
 def matrix_cells(rows: DataFrame, row_id: str = "row_id") -> DataFrame:

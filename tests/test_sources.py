@@ -55,6 +55,48 @@ def test_shared_folder_is_the_configured_one(spark):
     assert all(f.removeprefix("file:").startswith(folder) for f in [p.replace("file://", "") for p in kept.inputFiles()])
 
 
+def test_stored_tables_can_be_deleted(spark):
+    path = storage.store(spark.range(5), "numbers")
+    other = storage.store(spark.range(6), "numbers")
+    assert spark.read.parquet(path).count() == 5
+    storage.discard(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    assert spark.read.parquet(other).count() == 6
+    storage.discard(spark, other)
+
+
+def test_nulls_are_empty_fields(spark, tmp_path):
+    log = spark.createDataFrame([(1, None, 5.0), (2, 3, None)], "userid long, itemid long, pref double")
+    sinks.write_sorted(log, str(tmp_path / "out"))
+    back = [r[1] for r in rows(text.numbered_lines(spark, str(tmp_path / "out")), "pos")]
+    assert back == ["1\t\t5.0", "2\t3\t"]
+
+
+def test_listed_directories_keep_their_order(spark, tmp_path):
+    for name, lines in (("d0", ["a"]), ("s p+%20", ["b", "c"]), ("d1", ["d"])):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.txt").write_text("\n".join(lines) + "\n")
+    listed = [str(tmp_path / n) for n in ("d1", "s p+%20", "d0")]
+    assert rows(text.numbered_lines(spark, listed), "pos") == [(0, "d"), (1, "b"), (2, "c"), (3, "a")]
+    again = rows(text.numbered_lines(spark, [listed[2], listed[0], listed[2]]), "pos")
+    assert [v for _, v in again] == ["a", "d", "a"]
+
+
+def test_leading_white_space_is_no_field(spark, tmp_path):
+    (tmp_path / "log").write_text("\t5\t6\t1\n \t 7 8\n")
+    found = rows(text.read_rating_log(spark, str(tmp_path / "log")), "pos")
+    assert [r[1:3] for r in found] == [("5", "6"), ("7", "8")]
+
+
+def test_sorted_splits(spark, log, tmp_path):
+    suite = splits.split_suite(log, 3, {"ua": (1, 2)}, max_test=50, order_by="event_id").cache()
+    sinks.write_sorted_splits(suite, str(tmp_path / "s"), 3, ["ua"])
+    for name, condition in (("u2.test", "fold = 2"), ("u2.base", "fold <> 2"), ("ua.test", "in_ua"), ("ua.base", "not in_ua")):
+        back = [r[1] for r in rows(text.numbered_lines(spark, str(tmp_path / "s" / f"split={name}")), "pos")]
+        assert back == [r.value for r in splits.sort_ratings(suite.filter(condition)).collect()]
+
+
 def test_stream_equals_batch(spark, sf_dir, tmp_path):
     source = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         F.col("ts").cast("timestamp"), F.col("event_type").alias("product"), F.col("value").alias("price")
@@ -91,9 +133,12 @@ def test_tasks_run_without_the_package_on_their_path(tmp_path):
         "from pyspark.sql import SparkSession\n"
         "spark = (SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')\n"
         "    .config('spark.sql.shuffle.partitions', '2').getOrCreate())\n"
-        "from millrace.plans.itemcf import itemcf\n"
-        "data = [(1, 1, 5.0), (1, 2, 1.0), (2, 1, 5.0), (2, 3, 1.0)]\n"
-        "print('found', itemcf(spark.createDataFrame(data, 'userid long, itemid long, pref double')).count())\n"
+        "from millrace.operators import decomposition\n"
+        "from millrace.shipping import ship_by_value\n"
+        "ship_by_value()\n"
+        "rows = spark.createDataFrame([(1, [1.0, 2.0]), (2, [3.0, 1.0])], 'id long, v array<double>')\n"
+        "left = decomposition.svd_left(rows, 'id', 'v', decomposition.svd(rows, 'v', 2))\n"
+        "print('found', left.filter('size(left) = 2').count())\n"
     )
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run(

@@ -172,3 +172,45 @@ def test_write_split_round_trip(spark, log, tmp_path):
 def test_slice(spark):
     df = spark.range(100).withColumnRenamed("id", "pos")
     assert [r[0] for r in rows(splits.slice_rows(df, 20, 23), "pos")] == [20, 21, 22]
+
+
+@pytest.fixture(scope="module")
+def gaps(spark):
+    """A log with rows that have no usable order key."""
+    data = [(float(i), f"u{i % 4}", i % 7) for i in range(40)]
+    data += [(None, "u1", 1), (None, "u2", 2), (float("nan"), "u1", 3)]
+    return spark.createDataFrame(data, "at double, userid string, itemid int")
+
+
+def test_rows_without_an_order_key_stay(gaps):
+    size = gaps.count()
+    positions = rows(ordering.row_position(gaps, "at").select("pos", "at"), "pos")
+    assert [p for p, _ in positions] == list(range(size))
+    assert [at for _, at in positions[:2]] == [None, None] and positions[-1][1] != positions[-1][1]
+    assert splits.capped_running_count(gaps, 1, 3, 5, "at").count() == size
+    for cap in (0, 5):
+        assert splits.route_rows(gaps, 1, 3, cap, "at").count() == size
+        parts = splits.split_leave_range(gaps, 1, 3, cap, "at")
+        assert parts.count() == size
+    suite = splits.split_suite(gaps, 5, max_test=5, order_by="at")
+    assert suite.count() == size and suite.filter("fold is null").count() == 0
+    hot = ordering.group_ordinal(gaps, "userid", "at", hot_rows=3)
+    plain = ordering.group_ordinal(gaps, "userid", "at")
+    assert sorted(map(repr, rows(hot))) == sorted(map(repr, rows(plain)))
+
+
+def test_all_order_keys_null(spark):
+    df = spark.createDataFrame([(None, i) for i in range(5)], "at long, x long")
+    assert sorted(r[0] for r in rows(ordering.row_position(df, "at").select("pos"))) == list(range(5))
+
+
+def test_capped_count_ranks_users_once(spark, log):
+    for frame in (splits.capped_running_count(log, 1, 10, 50, "event_id"), splits.split_suite(log, order_by="event_id")):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "row_number" not in plan  # the stored ordinal is read, not computed again
+
+
+def test_empty_log(spark):
+    empty = spark.createDataFrame([], "at long, userid string, itemid long")
+    assert splits.split_suite(empty, order_by="at").count() == 0
+    assert splits.kfold_test(empty, 1, order_by="at").count() == 0
