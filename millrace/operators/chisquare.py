@@ -14,12 +14,13 @@ def chisq_gof(
     """``(groups..., categories, observations, df, statistic)`` of the category counts.
 
     ``categories`` defaults to the number of distinct categories in the whole input; a
-    category that is missing from a group counts as observed zero times. Rows are counted
+    category that is missing from a group counts as observed zero times. Null is no
+    category: such rows are not observations. Rows are counted
     per (group, category) before the shuffle, so a dominant group or category is only one
     row there. With E = N / k, sum((O - E)^2 / E) = (k * sum(O^2) - N^2) / N; the numerator
     is an exact integer.
     """
-    counts = df.groupBy(*groups, category).agg(F.count("*").alias("n"))
+    counts = df.filter(F.col(category).isNotNull()).groupBy(*groups, category).agg(F.count("*").alias("n"))
     if categories is None:
         k = counts.agg(F.count_distinct(category).alias("k")).scalar()
     else:
@@ -27,13 +28,17 @@ def chisq_gof(
     exact = F.col("n").cast("decimal(19,0)")
     totals = counts.groupBy(*groups).agg(
         F.sum("n").alias("observations"),
+        F.count("*").alias("seen"),
         F.sum((exact * exact).cast("decimal(38,0)")).alias("squares"),
     )
     total = F.col("observations").cast("decimal(19,0)")
     spread = F.col("categories").cast("decimal(10,0)") * F.col("squares") - total * total
+    few = F.raise_error(F.lit("a group has more categories than were given")).cast("long")
     return totals.withColumn("categories", k.cast("long")).select(
         *groups,
-        "categories",
+        F.when(F.col("seen") > F.col("categories"), few)
+        .otherwise(F.col("categories"))
+        .alias("categories"),
         "observations",
         (F.col("categories") - 1).alias("df"),
         (spread.cast("double") / F.col("observations")).alias("statistic"),

@@ -3,17 +3,22 @@
 A matrix is a DataFrame and either a list of numeric columns or the name of one array
 column. Up to ``NARROW`` listed columns become a single aggregate of built-in functions;
 wider matrices go through MLlib, whose executors combine partial results tree-wise. Only
-(columns x columns) results ever reach the driver.
+(columns x columns) results ever reach the driver, of at most ``MAX_WIDTH`` columns.
+
+Both ways follow one contract. A row with a null in any of its cells is left out as a whole;
+:func:`incomplete_rows` counts such rows. A matrix without complete rows has an empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
+from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
@@ -21,6 +26,9 @@ from pyspark.sql import functions as F
 
 NARROW = 16
 
+#: Widest matrix whose column pairs are computed: 128 MB of doubles on the driver.
+MAX_WIDTH = 4096
+
 Columns = list[str] | str
 
 
@@ -44,9 +52,50 @@ def feature_array(columns: Columns) -> Column:
     return F.array(*[F.col(c).cast("double") for c in columns])
 
 
+def _complete(columns: Columns) -> Column:
+    if isinstance(columns, str):
+        missing = F.exists(columns, lambda x: x.isNull())
+        return F.col(columns).isNotNull() & ~F.coalesce(missing, F.lit(True))
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+
+
+def complete_rows(df: DataFrame, columns: Columns) -> DataFrame:
+    """The rows without a null cell, which all statistics are computed from."""
+    return df.filter(_complete(columns))
+
+
+def incomplete_rows(df: DataFrame, columns: Columns) -> DataFrame:
+    """One row: ``n_rows``, and ``n_incomplete`` of them that are left out."""
+    return df.agg(
+        F.count("*").alias("n_rows"),
+        F.count(F.when(~_complete(columns), 1)).alias("n_incomplete"),
+    )
+
+
 def vectors(df: DataFrame, columns: Columns) -> DataFrame:
-    """One vector column ``v``."""
-    return df.select(array_to_vector(feature_array(columns)).alias("v"))
+    """One vector column ``v`` of the complete rows."""
+    rows = complete_rows(df, columns)
+    return rows.select(array_to_vector(feature_array(columns)).alias("v"))
+
+
+def matrix_width(df: DataFrame, columns: Columns) -> int:
+    """Number of columns, 0 if an array matrix has no complete rows; too wide ones raise."""
+    if isinstance(columns, str):
+        first = complete_rows(df, columns).select(F.size(columns)).first()
+        width = first[0] if first else 0
+    else:
+        width = len(columns)
+    if width > MAX_WIDTH:
+        raise ValueError(f"{width} columns; column pairs are computed up to {MAX_WIDTH}")
+    return width
+
+
+def _has_rows(df: DataFrame, columns: Columns) -> bool:
+    return matrix_width(df, columns) > 0 and not complete_rows(df, columns).isEmpty()
+
+
+def _no_entries(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame([], "i long, j long, value double")
 
 
 def mllib_rows(df: DataFrame, columns: Columns) -> RowMatrix:
@@ -85,6 +134,7 @@ def column_summary(df: DataFrame, columns: Columns) -> DataFrame:
     """One row per column: count, non-zeros, max, min, mean, variance, L1 and L2 norm."""
     if not _is_narrow(columns):
         return _vector_summary(df, columns)
+    df = complete_rows(df, columns)
     stats = []
     for c in columns:
         x = F.col(c).cast("double")
@@ -104,7 +154,8 @@ def column_summary(df: DataFrame, columns: Columns) -> DataFrame:
         F.struct(F.lit(i).cast("long").alias("i"), F.col(c).alias("s"))
         for i, c in enumerate(columns)
     ]
-    return df.agg(*stats).select(F.inline(F.array(*rows))).select("i", "s.*")
+    found = df.agg(*stats).select(F.inline(F.array(*rows))).select("i", "s.*")
+    return found.filter(F.col("n") > 0)
 
 
 def _vector_summary(df: DataFrame, columns: Columns) -> DataFrame:
@@ -117,6 +168,9 @@ def _vector_summary(df: DataFrame, columns: Columns) -> DataFrame:
         "l1": "normL1",
         "l2": "normL2",
     }
+    if not _has_rows(df, columns):
+        values = ", ".join(f"{name} double" for name in metrics if name != "non_zeros")
+        return df.sparkSession.createDataFrame([], f"i long, n long, non_zeros long, {values}")
     summary = Summarizer.metrics("count", *metrics.values()).summary(F.col("v"))
     one_row = vectors(df, columns).agg(summary.alias("s"))
     zipped = F.arrays_zip(
@@ -130,10 +184,12 @@ def _vector_summary(df: DataFrame, columns: Columns) -> DataFrame:
 
 
 def _dot_products(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row with a column ``d_i_j`` for the product of columns ``i <= j``."""
+    """One row with a column ``d_i_j`` for the product of columns ``i <= j``; none without data."""
+    df = complete_rows(df, columns)
     x = [F.col(c).cast("double") for c in columns]
     pairs = combinations_with_replacement(range(len(x)), 2)
-    return df.agg(*[F.sum(x[i] * x[j]).alias(f"d_{i}_{j}") for i, j in pairs])
+    sums = df.agg(F.count("*").alias("n"), *[F.sum(x[i] * x[j]).alias(f"d_{i}_{j}") for i, j in pairs])
+    return sums.filter(F.col("n") > 0)
 
 
 def gramian(df: DataFrame, columns: Columns) -> DataFrame:
@@ -141,24 +197,32 @@ def gramian(df: DataFrame, columns: Columns) -> DataFrame:
     if _is_narrow(columns):
         dots = _dot_products(df, columns)
         return _pair_rows(dots, len(columns), lambda i, j: F.col(f"d_{i}_{j}"))
+    if not _has_rows(df, columns):
+        return _no_entries(df)
     local = mllib_rows(df, columns).computeGramianMatrix().toArray()
     return matrix_entries(df, local, ("i", "j"))
 
 
 def covariance(df: DataFrame, columns: Columns) -> DataFrame:
-    """``(i, j, value)`` of the sample covariance (n - 1); at least two rows are required."""
+    """``(i, j, value)`` of the sample covariance (n - 1); a single complete row raises."""
     if _is_narrow(columns):
+        df = complete_rows(df, columns)
         x = [F.col(c).cast("double") for c in columns]
         pairs = combinations_with_replacement(range(len(x)), 2)
         sums = df.agg(
             F.count("*").alias("n"),
             *[F.covar_samp(x[i], x[j]).alias(f"c_{i}_{j}") for i, j in pairs],
-        )
+        ).filter(F.col("n") > 0)
         few = F.raise_error(F.lit("covariance needs at least two rows")).cast("double")
         return _pair_rows(
             sums, len(columns), lambda i, j: F.when(F.col("n") < 2, few).otherwise(F.col(f"c_{i}_{j}"))
         )
-    return matrix_entries(df, mllib_rows(df, columns).computeCovariance().toArray(), ("i", "j"))
+    if not _has_rows(df, columns):
+        return _no_entries(df)
+    rows = mllib_rows(df, columns)
+    if rows.numRows() < 2:
+        raise ValueError("covariance needs at least two rows")
+    return matrix_entries(df, rows.computeCovariance().toArray(), ("i", "j"))
 
 
 def column_dot(df: DataFrame, columns: Columns) -> DataFrame:
@@ -177,6 +241,8 @@ def column_cosine(df: DataFrame, columns: Columns) -> DataFrame:
 
         entries = _pair_rows(one_row, len(columns), cosine)
         return entries.filter((F.col("i") < F.col("j")) & F.col("value").isNotNull())
+    if not _has_rows(df, columns):
+        return _no_entries(df)
     dots = mllib_rows(df, columns).computeGramianMatrix().toArray()
     norms = np.sqrt(np.diag(dots))
     scale = np.outer(norms, norms)
@@ -186,34 +252,30 @@ def column_cosine(df: DataFrame, columns: Columns) -> DataFrame:
 
 
 def column_cosine_sampled(
-    df: DataFrame, columns: Columns, threshold: float, exact: bool | None = None
+    df: DataFrame, columns: Columns, threshold: float, exact: bool = True
 ) -> DataFrame:
-    """Cosines of column pairs that reach ``threshold``.
+    """Cosines of column pairs that reach ``threshold``: exact ones, whatever the input.
 
-    ``exact`` (the default up to 1,000 columns) filters the exact cosines. Otherwise MLlib's
-    DIMSUM sampling estimates them: entries above the threshold are found with high
-    probability, values are estimates, clipped to [-1, 1], and vary with the partitioning.
-    Columns are scaled by their largest magnitude first, which leaves the cosine unchanged
-    and keeps the sampling rate from depending on units.
+    With ``exact=False`` MLlib's DIMSUM sampling estimates them: entries above the threshold
+    are found with high probability, values are estimates, clipped to [-1, 1], and vary with
+    the partitioning. Columns are scaled by their largest magnitude first, which leaves the
+    cosine unchanged and keeps the sampling rate from depending on units.
     """
     if threshold < 0:
         raise ValueError("threshold must not be negative")
-    if exact is None:
-        exact = not isinstance(columns, str) and len(columns) <= 1000
     if exact:
         return column_cosine(df, columns).filter(F.col("value") >= threshold)
-    rows = df.select(feature_array(columns).alias("features"))
+    if not _has_rows(df, columns):
+        return _no_entries(df)
+    rows = complete_rows(df, columns).select(feature_array(columns).alias("features"))
     peaks = rows.select(array_to_vector("features").alias("v")).agg(
         Summarizer.metrics("max", "min").summary(F.col("v")).alias("s")
     )
     top, low = peaks.select(vector_to_array("s.max"), vector_to_array("s.min")).first()
     scale = [1 / p if (p := max(abs(a), abs(b))) > 0 else 0.0 for a, b in zip(top, low)]
     scaled = F.zip_with("features", F.lit(scale), lambda x, s: x * s)
-    sampled = mllib_rows(rows.select(scaled.alias("features")), "features")
-    entries = sampled.columnSimilarities(threshold).entries.map(
-        lambda e: (int(e.i), int(e.j), float(e.value))
-    )
+    found = mllib_rows(rows.select(scaled.alias("features")), "features").columnSimilarities(threshold)
+    # MLlib's own table of the entries: no Python code touches them
+    entries = callMLlibFunc("getMatrixEntries", found._java_matrix_wrapper._java_model)
     clipped = F.least(F.greatest(F.col("value"), F.lit(-1.0)), F.lit(1.0))
-    return df.sparkSession.createDataFrame(entries, "i long, j long, value double").withColumn(
-        "value", clipped
-    )
+    return entries.select("i", "j", clipped.alias("value"))

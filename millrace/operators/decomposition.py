@@ -12,7 +12,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.columns import Columns, feature_array, matrix_entries, mllib_rows, vectors
+from millrace.operators.columns import (
+    Columns,
+    complete_rows,
+    feature_array,
+    matrix_entries,
+    matrix_width,
+    mllib_rows,
+    vectors,
+)
 
 
 def _sign(components: np.ndarray) -> np.ndarray:
@@ -22,10 +30,12 @@ def _sign(components: np.ndarray) -> np.ndarray:
     return np.where(components[lead, np.arange(components.shape[1])] < 0, -1.0, 1.0)
 
 
-def _width(df: DataFrame, columns: Columns) -> int:
-    if not isinstance(columns, str):
-        return len(columns)
-    return df.select(F.size(columns)).first()[0]
+def _check_rank(df: DataFrame, columns: Columns, k: int, what: str) -> None:
+    width = matrix_width(df, columns)
+    if not width or complete_rows(df, columns).isEmpty():
+        raise ValueError("the matrix has no complete rows")
+    if k > width:
+        raise ValueError(f"more {what} than columns")
 
 
 def principal_components(df: DataFrame, columns: Columns, k: int) -> DataFrame:
@@ -34,8 +44,7 @@ def principal_components(df: DataFrame, columns: Columns, k: int) -> DataFrame:
     ``explained`` is the component's share of the total variance. Each component's entry of
     largest magnitude (the first among equals) is positive.
     """
-    if k > _width(df, columns):
-        raise ValueError("more components than columns")
+    _check_rank(df, columns, k, "components")
     model = PCA(k=k, inputCol="v", outputCol="projected").fit(vectors(df, columns))
     values = model.pc.toArray()
     share = F.lit([float(x) for x in model.explainedVariance.toArray()])
@@ -66,8 +75,7 @@ def svd(df: DataFrame, columns: Columns, k: int, rcond: float = 1e-7) -> Decompo
     MLlib takes square roots of Gramian eigenvalues, so values below about 1e-8 of the
     largest are noise; ``rcond`` drops them. Signs follow :func:`principal_components`.
     """
-    if k > _width(df, columns):
-        raise ValueError("more singular values than columns")
+    _check_rank(df, columns, k, "singular values")
     found = mllib_rows(df, columns).computeSVD(k, computeU=False, rCond=rcond)
     right = found.V.toArray()
     return Decomposition(found.s.toArray(), right * _sign(right))
@@ -85,21 +93,38 @@ def _projection(weights: np.ndarray):
     return project
 
 
-def svd_left_rows(
+def _projected(
+    df: DataFrame, row_id: str, columns: Columns, weights: np.ndarray, name: str
+) -> DataFrame:
+    """``row_id`` and the complete rows times ``weights`` as an array; nothing is shuffled."""
+    project = _projection(weights)
+    return complete_rows(df, columns).select(row_id, project(feature_array(columns)).alias(name))
+
+
+def svd_left(
     df: DataFrame, row_id: str, columns: Columns, decomposition: Decomposition
 ) -> DataFrame:
-    """``(row_id, component, value)`` of the left vectors: rows times V / sigma.
+    """``(row_id, left)``: the left vectors' entries of each row, rows times V / sigma."""
+    return _projected(df, row_id, columns, decomposition.right / decomposition.sigma, "left")
 
-    A projection of each row, so rows keep their id and nothing is shuffled.
-    """
-    project = _projection(decomposition.right / decomposition.sigma)
-    left = project(feature_array(columns))
-    entries = df.select(row_id, left.alias("_left")).select(
-        row_id, F.posexplode("_left").alias("component", "value")
-    )
+
+def svd_left_rows(
+    df: DataFrame, row_id: str, columns: Columns, decomposition: Decomposition
+) -> DataFrame:
+    """:func:`svd_left` as ``(row_id, component, value)``."""
+    left = svd_left(df, row_id, columns, decomposition)
+    entries = left.select(row_id, F.posexplode("left").alias("component", "value"))
     return entries.withColumn("component", F.col("component").cast("long"))
 
 
+def svd_reconstructed(
+    left: DataFrame, row_id: str, decomposition: Decomposition
+) -> DataFrame:
+    """``(row_id, features)``: left vectors times singular values and right vectors."""
+    weights = (decomposition.right * decomposition.sigma).T
+    return _projected(left, row_id, "left", weights, "features")
+
+
 def cumulative_spectrum(spectrum: DataFrame) -> DataFrame:
     """Add the running sum of ``sigma`` by ``k`` and its share of the total.
 
@@ -116,12 +141,18 @@ def cumulative_spectrum(spectrum: DataFrame) -> DataFrame:
 def component_grid(matrix: DataFrame, height: int, width: int) -> DataFrame:
     """Lay each column of ``(row_id, component, value)`` out as a row-major image.
 
-    Adds ``y``, ``x`` and the 1-based ``label``. The matrix must have height x width rows.
+    Adds ``y``, ``x`` and the 1-based ``label``. Every component must have each of the
+    height x width row ids once; the task that meets another one fails.
     """
-    first, last = matrix.agg(F.min("row_id"), F.max("row_id")).first()
-    if first is not None and (first, last) != (0, height * width - 1):
-        raise ValueError(f"row ids {first}..{last} do not fill a {height} x {width} grid")
-    return matrix.select(
+    size = height * width
+    whole = W.partitionBy("component")
+    inside = F.col("row_id").between(0, size - 1)
+    complete = (F.count("*").over(whole) == size) & (F.size(F.collect_set("row_id").over(whole)) == size)
+    message = F.format_string(
+        f"component %s does not fill a {height} x {width} grid", F.col("component").cast("string")
+    )
+    row = F.when(inside & complete, F.col("row_id")).otherwise(F.raise_error(message).cast("long"))
+    return matrix.withColumn("row_id", row).select(
         "component",
         (F.col("component") + 1).alias("label"),
         F.expr(f"row_id div {width}").alias("y"),

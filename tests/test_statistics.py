@@ -217,8 +217,14 @@ def test_grid(spark):
                                    "row_id long, component long, value double")
     found = {(c, y, x): (label, v) for c, label, y, x, v in rows(decomposition.component_grid(matrix, 2, 3))}
     assert found[1, 1, 0] == (2, 31.0) and len(found) == 12
-    with pytest.raises(ValueError):
-        decomposition.component_grid(matrix, 2, 2)
+    with pytest.raises(Exception, match="does not fill"):
+        decomposition.component_grid(matrix, 2, 2).collect()
+    holes = matrix.filter("component = 0 or row_id <> 3")
+    with pytest.raises(Exception, match="component 1 does not fill"):
+        decomposition.component_grid(holes, 2, 3).collect()
+    twice = holes.union(matrix.filter("component = 1 and row_id = 2"))
+    with pytest.raises(Exception, match="component 1 does not fill"):
+        decomposition.component_grid(twice, 2, 3).collect()
 
 
 def test_results_do_not_depend_on_partitioning(spark):
@@ -253,5 +259,71 @@ def test_spectrum_file(spark, tmp_path):
 def test_bad_matrix_is_rejected(spark, tmp_path, text):
     path = tmp_path / "bad.csv"
     path.write_text(text)
-    with pytest.raises(ValueError):
-        matrices.read_numeric_matrix(spark, str(path))
+    with pytest.raises(Exception, match="not a number|differ"):
+        matrices.read_numeric_matrix(spark, str(path)).collect()
+    with pytest.raises(Exception, match="not a number|differ"):
+        matrices.read_numeric_matrix(spark, str(path), width=2).collect()
+
+
+# --- one contract for narrow and wide matrices ------------------------------------------------
+
+BUILDS = [columns.column_summary, columns.gramian, columns.column_dot, columns.covariance, columns.column_cosine]
+
+
+@pytest.mark.parametrize("width", [16, 17])
+@pytest.mark.parametrize("build", BUILDS)
+def test_incomplete_rows_are_left_out_whole(spark, build, width):
+    rng = random.Random(width)
+    data = [[rng.gauss(0, 1) for _ in range(width)] for _ in range(30)]
+    holed = [list(r) for r in data]
+    holed[3][0] = holed[9][width - 1] = None
+    names = [f"c{i}" for i in range(width)]
+    schema = ", ".join(f"{n} double" for n in names)
+    df = spark.createDataFrame(holed, schema)
+    kept = spark.createDataFrame([r for r in holed if None not in r], schema)
+    arrays = df.select(F.array(*names).alias("f")).union(spark.createDataFrame([(None,)], "f array<double>"))
+    want = sorted(map(tuple, build(kept, names).collect()))
+    for frame, cols in ((df, names), (arrays, "f")):
+        got = sorted(map(tuple, build(frame, cols).collect()))
+        assert len(got) == len(want)
+        for a, b in zip(got, want):
+            assert a == pytest.approx(b, rel=1e-9, abs=1e-12)
+    assert rows(columns.incomplete_rows(df, names)) == [(30, 2)]
+    assert rows(columns.incomplete_rows(arrays, "f")) == [(31, 3)]
+
+
+@pytest.mark.parametrize("width", [16, 17])
+@pytest.mark.parametrize("build", BUILDS)
+def test_matrix_without_complete_rows(spark, build, width):
+    names = [f"c{i}" for i in range(width)]
+    df = spark.createDataFrame([[None] * width], ", ".join(f"{n} double" for n in names))
+    arrays = df.select(F.array(*names).alias("f"))
+    for frame, cols in ((df, names), (arrays, "f"), (df.limit(0), names), (arrays.limit(0), "f")):
+        assert build(frame, cols).count() == 0
+
+
+def test_decomposition_of_nothing_raises(spark):
+    empty = spark.createDataFrame([], "f array<double>")
+    for build in (decomposition.svd, decomposition.principal_components):
+        with pytest.raises(ValueError, match="no complete rows"):
+            build(empty, "f", 1)
+
+
+def test_exact_cosine_is_the_default_for_arrays(narrow, wide):
+    exact = cells(columns.column_cosine(narrow, NAMES))
+    assert cells(columns.column_cosine_sampled(wide, "features", 0.0)) == pytest.approx(exact, rel=1e-12)
+
+
+def test_too_wide_matrix_raises(spark, monkeypatch):
+    monkeypatch.setattr(columns, "MAX_WIDTH", 20)
+    df = spark.createDataFrame([([1.0] * 21,)], "f array<double>")
+    with pytest.raises(ValueError, match="21 columns"):
+        columns.gramian(df, "f")
+
+
+def test_null_is_no_category(spark):
+    data = [("g", "a"), ("g", "b"), ("g", None), ("h", None)]
+    tests = chisquare.chisq_gof(spark.createDataFrame(data, "g string, c string"), ["g"], "c")
+    assert rows(tests) == [("g", 2, 2, 1, 0.0)]
+    with pytest.raises(Exception, match="more categories"):
+        chisquare.chisq_gof(spark.createDataFrame(data, "g string, c string"), ["g"], "c", 1).collect()
