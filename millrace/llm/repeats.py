@@ -3,10 +3,11 @@
 Shared by the substring operators: symbols are words or bytes, a window is ``width`` of them.
 
 1. Every window has a minimiser: the least hash among its grams. Consecutive windows with
-   the same minimiser gram make one super-window, known by hashes of the gram and of the
+   the same minimiser make one super-window, known by hashes of the gram and of the
    content, so a copied text costs a few short rows per copy.
-2. Per gram, counts decide most cases: a gram met once has no repeated window; where all
-   super-windows of a gram are equal, they are repeated as a whole.
+2. Per gram, counts decide most cases: a gram met once has no repeated window, unless it
+   stands several times in its super-window; where all super-windows of a gram are
+   equal, they are repeated as a whole.
 3. What is left - different super-windows around one gram - travels as one packed string
    each to its gram's bucket. Equal ones collapse first. In the bucket the windows are
    sorted exactly, by refining buckets of equal grams with the bucket numbers of later offsets.
@@ -36,7 +37,9 @@ from millrace.storage import discard, materialize, store
 SEGMENT = 1 << 21
 #: Bytes of texts, and of packed strings, that a task works on at once.
 TEXT_BLOCK = 1 << 19
-BUCKET_BYTES = 1 << 21
+BUCKET_BYTES = 1 << 20
+#: Windows of a super-window in periodic text, in widths; others are shorter than one width.
+LONGEST_RUN = 8
 
 _BASE = 0x9E3779B97F4A7C15
 _PLACE = np.uint64((1 << 24) - 1)
@@ -74,11 +77,16 @@ class SuperWindows:
         self._powers = self._inverse = np.zeros(0, np.uint64)
 
     def find(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        """Row, first window in the array, number of windows, gram hash, content hash."""
+        """Per super-window: row, first window in the array, number of windows, gram hash,
+        content hash, and whether its windows take the gram from several places.
+
+        Periodic text has its gram everywhere; such runs are cut at a fixed length, from their
+        start on, so that equal runs are cut alike.
+        """
         width, gram, n = self.width, self.gram, len(hashes)
         sizes = np.maximum(ends - starts - width + 1, 0)
         if not sizes.sum():
-            return [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2
+            return [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, bool)]
         if len(self._powers) < n + 1:
             self._powers = _powers(_BASE, n + 1)
             self._inverse = _powers(pow(_BASE, -1, 1 << 64), n + 1)
@@ -90,11 +98,16 @@ class SuperWindows:
         row = np.repeat(np.arange(len(sizes)), sizes)
         window = np.arange(len(row)) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
         at = (least[window] & _PLACE).astype(np.int64)
-        first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (row[1:] != row[:-1])])
+        kept = grams[at]
+        new = np.r_[True, (kept[1:] != kept[:-1]) | (row[1:] != row[:-1])]
+        place = np.arange(len(row))
+        since = place - np.maximum.accumulate(np.where(new, place, 0))
+        first = np.flatnonzero(since % (LONGEST_RUN * width) == 0)
         count = np.diff(np.r_[first, len(row)])
         begin = window[first]
         content = (prefix[begin + count - 1 + width] - prefix[begin]) * self._inverse[begin]
-        return row[first], begin, count, grams[at[first]], mix(content, 0xA5A5)
+        several = at[first] != at[first + count - 1]
+        return row[first], begin, count, kept[first], mix(content, 0xA5A5), several
 
 
 def byte_hashes(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -157,51 +170,78 @@ class Kind:
 # --- exact sorting of the windows in a bucket -----------------------------------------------
 
 
+def _heads(ranked: np.ndarray) -> np.ndarray:
+    """For each place in sorted order, the first place with the same value."""
+    place = np.arange(len(ranked))
+    return np.maximum.accumulate(np.where(np.r_[True, ranked[1:] != ranked[:-1]], place, 0))
+
+
 def window_classes(symbols: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """All window starts in rows of symbols, and a number that equal windows share.
 
-    A bucket is known by the place of its first member in sorted order. Round by round, the
-    members of buckets with several members are sorted by the bucket numbers some offset
-    later, which doubles the length that the buckets agree on; a bucket of one is done.
+    The first buckets hold equal grams. A bucket is known by the place of its first member
+    in sorted order. Round by round, the members of buckets with several members are sorted
+    by the bucket numbers some offset later, which doubles the length that the buckets
+    agree on; a bucket of one is done.
     """
-    ends = np.repeat(np.cumsum(sizes), sizes)
-    place = np.arange(len(symbols))
-    room = ends - place
-    order = np.argsort(symbols, kind="stable")
-    bucket = np.empty(len(symbols), np.int64)
-    ranked = symbols[order]
-    head = np.maximum.accumulate(np.where(np.r_[True, ranked[1:] != ranked[:-1]], place, 0))
-    bucket[order] = head
-    length = 1
+    total = len(symbols)
+    room = np.repeat(np.cumsum(sizes), sizes) - np.arange(total)
+    starts = np.flatnonzero(room >= width)
+    if not len(starts):
+        return starts, starts
+    length = 8 if width >= 8 and symbols.max() < 256 else 1
+    members = np.flatnonzero(room >= length)
+    gram = symbols[members].astype(np.uint64)
+    for i in range(1, length):
+        gram = gram << np.uint64(8) | symbols[members + i].astype(np.uint64)
+    order = np.argsort(gram)
+    bucket = np.zeros(total, np.int64)
+    bucket[members[order]] = _heads(gram[order])
     while length < width:
         offset = min(length, width - length)
         # a member that is too short to go on cannot be part of a window at this offset
-        members = np.flatnonzero(room >= length + offset)
-        sizes_now = np.bincount(bucket[members], minlength=len(symbols))
-        members = members[sizes_now[bucket[members]] > 1]
+        members = members[room[members] >= length + offset]
+        members = members[np.bincount(bucket[members], minlength=total)[bucket[members]] > 1]
         if not len(members):
             break
-        key = bucket[members] * np.int64(len(symbols)) + bucket[members + offset]
-        order = np.argsort(key, kind="stable")
-        key, members = key[order], members[order]
-        old = bucket[members]
-        at = np.arange(len(key))
-        group = np.maximum.accumulate(np.where(np.r_[True, old[1:] != old[:-1]], at, 0))
-        part = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], at, 0))
-        bucket = bucket.copy()
+        key = bucket[members] * np.int64(total) + bucket[members + offset]
+        order = np.argsort(key)
+        key, sorted_members = key[order], members[order]
+        old = bucket[sorted_members]
         # members that stopped here keep the old number; nobody compares them again
-        bucket[members] = old + (part - group)
+        bucket[sorted_members] = old + _heads(key) - _heads(old)
         length += offset
-    starts = np.flatnonzero(room >= width)
     return starts, bucket[starts]
 
 
+def _repeated_rows(symbols: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
+    """Rows with a window whose hash stands twice; in the others no window is repeated."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    starts = np.flatnonzero(np.cumsum(sizes)[row] - np.arange(len(row)) >= width)
+    prefix = np.zeros(len(symbols) + 1, np.uint64)
+    hashes = mix((symbols + 1).astype(np.uint64) * np.uint64(_BASE))
+    np.cumsum(hashes * _powers(_BASE, len(symbols)), out=prefix[1:])
+    inverse = _powers(pow(_BASE, -1, 1 << 64), len(symbols))
+    windows = (prefix[starts + width] - prefix[starts]) * inverse[starts]
+    order = np.argsort(windows)
+    same = windows[order][1:] == windows[order][:-1]
+    return np.unique(row[starts[order[np.r_[same, False] | np.r_[False, same]]]])
+
+
 def repeated_runs(kind: Kind, rows: list[bytes], docs: np.ndarray):
     """Row, first window, number of windows for each run of repeated windows in a bucket."""
+    nothing = [np.zeros(0, np.int64)] * 3
     symbols, sizes = kind.numbers(rows)
+    if not len(symbols):
+        return nothing
+    chosen = _repeated_rows(symbols, sizes, kind.width)
+    if not len(chosen):
+        return nothing
+    wanted = np.zeros(len(sizes), bool)
+    wanted[chosen] = True
+    symbols, sizes = symbols[np.repeat(wanted, sizes)], sizes[chosen]
+    docs = docs[chosen]
     starts, classes = window_classes(symbols, sizes, kind.width)
-    if not len(starts):
-        return [np.zeros(0, np.int64)] * 3
     begins = np.cumsum(sizes) - sizes
     row = np.searchsorted(begins, starts, side="right") - 1
     if kind.earlier:
@@ -215,11 +255,11 @@ def repeated_runs(kind: Kind, rows: list[bytes], docs: np.ndarray):
         hit = counts[inverse] > 1
     at = np.flatnonzero(hit)
     if not len(at):
-        return [np.zeros(0, np.int64)] * 3
+        return nothing
     new = np.r_[True, (np.diff(at) != 1) | (row[at][1:] != row[at][:-1])]
     first = np.flatnonzero(new)
     count = np.diff(np.r_[first, len(at)])
-    return row[at[first]], starts[at[first]] - begins[row[at[first]]], count
+    return chosen[row[at[first]]], starts[at[first]] - begins[row[at[first]]], count
 
 
 # --- the steps over a table ----------------------------------------------------------------
@@ -227,7 +267,7 @@ def repeated_runs(kind: Kind, rows: list[bytes], docs: np.ndarray):
 #: A text: (doc, key) name its row, ``base`` is where it starts in that row's symbols.
 TEXT = "doc long, key long, base long, text binary"
 SPAN = "doc long, key long, start long, n long"
-OCCURRENCE = f"{TEXT.removesuffix(', text binary')}, at long, n long, m long, s long"
+OCCURRENCE = f"{TEXT.removesuffix(', text binary')}, at long, n long, m long, s long, several boolean"
 PACKED = "m long, doc long, key long, start long, hot boolean, text binary"
 
 
@@ -267,11 +307,11 @@ def occurrences(texts: DataFrame, kind: Kind, gram: int) -> DataFrame:
                 starts = np.cumsum(sizes) - sizes
                 for which, a, b in _segments(sizes, kind.width):
                     low, high = int(a[0]), int(b[-1])
-                    row, at, n, m, s = finder.find(hashes[low:high], a - low, b - low)
+                    row, at, n, m, s, several = finder.find(hashes[low:high], a - low, b - low)
                     own = which[row] + begin
                     yield _batch(
                         doc=doc[own], key=key[own], base=base[own],
-                        at=at + low - starts[which[row]], n=n, m=m.view(np.int64), s=s.view(np.int64),
+                        at=at + low - starts[which[row]], n=n, m=m.view(np.int64), s=s.view(np.int64), several=several,
                     )
 
     return texts.select("doc", "key", "base", "text").mapInArrow(scan, OCCURRENCE)
@@ -338,14 +378,16 @@ def _level(texts: DataFrame, kind: Kind, level: int) -> DataFrame:
     """Spans of repeated windows in ``texts``; hot grams go on to the next level."""
     spark = texts.sparkSession
     found = occurrences(texts, kind, kind.grams[level])
+    last = level + 1 == len(kind.grams)
+    if last:  # a gram is the window, so equal grams are all there is to count
+        count, mixed = F.sum("n"), F.lit(False)
+    else:  # a super-window with its gram in several places may repeat windows inside itself
+        inside = F.lit(False) if kind.earlier else (F.count("*") == 1) & F.max("several")
+        count, mixed = F.count("*"), (F.min("s") != F.max("s")) | inside
     grams = store(
         found.groupBy("m")
-        .agg(
-            F.count("*").alias("c"),
-            F.min("doc").alias("first"),
-            (F.min("s") != F.max("s")).alias("mixed"),
-        )
-        .filter("c > 1"),
+        .agg(count.alias("c"), F.min("doc").alias("first"), mixed.alias("mixed"))
+        .filter("c > 1 or mixed"),
         "grams",
     )
     met = materialize(found.join(spark.read.parquet(grams), "m"), "super-windows")
@@ -353,10 +395,10 @@ def _level(texts: DataFrame, kind: Kind, level: int) -> DataFrame:
     repeated = F.col("doc") > F.col("first") if kind.earlier else F.lit(True)
     spans = met.filter(~F.col("mixed") & repeated)
     spans = spans.select("doc", "key", (F.col("base") + F.col("at")).alias("start"), "n")
-    if level + 1 == len(kind.grams):  # a gram is the window: all of its super-windows are equal
+    if last:
         return spans
 
-    mixed = met.filter("mixed").drop("c", "first", "mixed")
+    mixed = met.filter("mixed").drop("c", "first", "mixed", "several")
     each = mixed.groupBy("m", "s").agg(F.count("*").alias("c"), F.min("doc").alias("first"))
     hot = each.groupBy("m").agg((F.count("*") > kind.hot).alias("hot"))
     rows = mixed.join(each.join(hot, "m"), ["m", "s"])
