@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from millrace.functions import chisquare as pvalues
 from millrace.functions.chisquare import presumption
 from millrace.operators import chisquare, columns, decomposition
 from millrace.sources import matrices
@@ -327,3 +328,18 @@ def test_null_is_no_category(spark):
     assert rows(tests) == [("g", 2, 2, 1, 0.0)]
     with pytest.raises(Exception, match="more categories"):
         chisquare.chisq_gof(spark.createDataFrame(data, "g string, c string"), ["g"], "c", 1).collect()
+
+
+def test_large_degrees_agree_with_the_closed_forms(spark):
+    data = [(float(df * r), df) for df in (600, 601, 1000) for r in (0.5, 0.9, 0.99, 1.0, 1.01, 1.1, 1.5, 2.0)]
+    df = spark.createDataFrame(data, "x double, n long")
+    half, n = F.col("x") / 2, F.col("n")
+    both = df.select(
+        F.when(n % 2 == 0, pvalues._even_tail(half, n)).otherwise(pvalues._odd_tail(half, n)),
+        pvalues._large_tail(half, n),
+    )
+    for closed, large in rows(both):
+        assert large == pytest.approx(closed, rel=1e-9, abs=1e-12)
+    million = spark.createDataFrame([(1e6 + 1414.2, 1_000_000), (1e6, 1_000_000)], "x double, n long")
+    above, mean = (r[0] for r in rows(million.select(pvalues.chisq_pvalue(F.col("x"), F.col("n")))))
+    assert above == pytest.approx(0.1587, abs=2e-4) and mean == pytest.approx(0.4998, abs=2e-4)
