@@ -33,8 +33,8 @@ PATTERN = (
 )
 
 #: Text handled at once, and how many different words a task remembers; neither changes results.
-BLOCK_BYTES = 4_000_000
-REMEMBERED_WORDS = 500_000
+BLOCK_BYTES = 1_000_000
+REMEMBERED_WORDS = 200_000
 
 #: Cuts at white space only, as the full pattern does; the full pattern then sees each word once.
 _CHUNKS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")

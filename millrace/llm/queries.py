@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import reduce, wraps
 
 from public_tokenizers import path
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,15 +21,20 @@ from millrace.llm import (
     token_counts,
     url_filter,
 )
-from millrace.llm.rows import read
+from millrace.llm.rows import bound_batches, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 VOCABULARY = "byte_bpe_50k.json"
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[build.__name__] = build
-    return build
+    @wraps(build)
+    def bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = bounded
+    return bounded
 
 
 URL_RULES = {

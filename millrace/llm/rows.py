@@ -11,10 +11,23 @@ from pyspark.sql import functions as F
 #: The ASCII white space that separates words: \x20 and \x09-\x0D. bytes.split() uses the same set.
 SPACES = b" \t\n\x0b\x0c\r"
 
+#: Bytes of one batch of rows between a task and its Python worker.
+BATCH_BYTES = 4 << 20
+
 #: Stands for a null id where ids are compared: such a row counts as the last one.
 LAST_ID = 2**63 - 1
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Keep what tasks exchange with Python to a few megabytes at a time, however long texts are.
+
+    The session's own setting stays if it is as small.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(name).removesuffix("b")) <= BATCH_BYTES:
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
