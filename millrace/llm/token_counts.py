@@ -15,15 +15,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.llm.byte_bpe import token_count
+from millrace.storage import materialize
 
 #: Lengths that one window task ranks; the sums of the ranges are one row per so many lengths.
-RANGE = 4096
+RANGE = 256
 
 
 def length_histogram(docs: DataFrame, path: str) -> DataFrame:
-    """``n_tokens, n_docs``: how many documents have each encoded length."""
+    """``n_tokens, n_docs``: how many documents have each encoded length.
+
+    The rows, one for each length, are stored: whatever is asked of them, texts are encoded once.
+    """
     lengths = docs.select(token_count(path)("text").alias("n_tokens"))
-    return lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    return materialize(lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs")), "lengths")
 
 
 def context_totals(histogram: DataFrame) -> DataFrame:
