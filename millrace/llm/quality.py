@@ -46,7 +46,10 @@ _BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE)).encode(), re.IGN
 
 @dataclass(frozen=True)
 class LineRules:
-    """Thresholds; shares are of a line's words, or of a document's words for ``lost``."""
+    """Thresholds; shares are of a line's words, or of a document's words for ``lost``.
+
+    A longer line than ``boilerplate_words`` holds more than the stock phrase and stays.
+    """
 
     min_words: int = 50
     repeated: float = 0.5
@@ -54,7 +57,8 @@ class LineRules:
     separators: int = 3
     separated: float = 0.15
     unpunctuated: int = 40
-    lost: float = 0.5
+    boilerplate_words: int = 25
+    lost: float = 0.3
 
 
 def line_fails(line: bytes, n_words: int, rules: LineRules) -> str:
@@ -67,7 +71,7 @@ def line_fails(line: bytes, n_words: int, rules: LineRules) -> str:
     bars = line.count(b"|") + line.count("›".encode()) + line.count("»".encode())
     if bars >= rules.separators and bars > rules.separated * n_words:
         return "navigation"
-    if _BOILERPLATE.search(line):
+    if n_words <= rules.boilerplate_words and _BOILERPLATE.search(line):
         return "boilerplate"
     return ""
 

@@ -156,12 +156,13 @@ def test_line_rules():
     assert fails("Home | Products | About | Contact") == "navigation"
     assert fails("Home › Garden › Tools › Rakes") == "navigation"
     assert fails("Copyright 2020. All Rights Reserved.") == "boilerplate"
+    assert fails("All rights reserved. " + " ".join(f"word{i}" for i in range(30)) + ".") == ""
     assert fails(" ".join(["word"] * 60)) == "punctuation"
 
 
 def test_documents_that_lose_too_much_go(spark, wide):
     good = " ".join(f"word{i}" for i in range(60)) + "."
-    menu = " | ".join(f"item{i}" for i in range(25))
+    menu = " | ".join(f"item{i}" for i in range(12))
     rows = [(1, good), (2, f"{good}\n{menu}"), (3, f"{menu}\n{menu}x\n{good}"), (4, None), (5, "short.")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text"))
     kept = {r.doc_id: r for r in quality.clean_documents(docs).collect()}
