@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -115,23 +116,20 @@ def byte_hashes(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return table[np.frombuffer(b"".join(rows), np.uint8)], np.array([len(r) for r in rows], np.int64)
 
 
-class WordHashes:
-    """Hashes of words; remembers the words of a task's texts."""
+class WordHashes(dict):
+    """Hashes of words; remembers words of a task's texts, up to a bound."""
 
-    def __init__(self) -> None:
-        self._known: dict[bytes, int] = {}
+    def __missing__(self, word: bytes) -> int:
+        self[word] = value = xxhash.xxh64_intdigest(word)
+        return value
 
     def __call__(self, rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        known = self._known
-        if len(known) > 1_000_000:
-            known.clear()
+        if len(self) > 300_000:
+            self.clear()
         split = [r.split() for r in rows]
-        words = [w for ws in split for w in ws]
-        for w in set(words):
-            if w not in known:
-                known[w] = xxhash.xxh64_intdigest(w)
-        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        return hashes, np.array([len(ws) for ws in split], np.int64)
+        sizes = np.array([len(ws) for ws in split], np.int64)
+        words = chain.from_iterable(split)
+        return np.fromiter(map(self.__getitem__, words), np.uint64, int(sizes.sum())), sizes
 
 
 @dataclass(frozen=True)
@@ -377,7 +375,9 @@ def _sorted_buckets(packed: DataFrame, kind: Kind) -> DataFrame:
 def _level(texts: DataFrame, kind: Kind, level: int) -> DataFrame:
     """Spans of repeated windows in ``texts``; hot grams go on to the next level."""
     spark = texts.sparkSession
-    found = occurrences(texts, kind, kind.grams[level])
+    # stored, as both the counts and the join below read them; the texts are scanned once
+    stored = store(occurrences(texts, kind, kind.grams[level]), "occurrences")
+    found = spark.read.parquet(stored)
     last = level + 1 == len(kind.grams)
     if last:  # a gram is the window, so equal grams are all there is to count
         count, mixed = F.sum("n"), F.lit(False)
@@ -392,6 +392,7 @@ def _level(texts: DataFrame, kind: Kind, level: int) -> DataFrame:
     )
     met = materialize(found.join(spark.read.parquet(grams), "m"), "super-windows")
     discard(spark, grams)
+    discard(spark, stored)
     repeated = F.col("doc") > F.col("first") if kind.earlier else F.lit(True)
     spans = met.filter(~F.col("mixed") & repeated)
     spans = spans.select("doc", "key", (F.col("base") + F.col("at")).alias("start"), "n")
