@@ -34,7 +34,7 @@ PATTERN = (
 
 #: Text handled at once, and how many different words a task remembers; neither changes results.
 BLOCK_BYTES = 1_000_000
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 400_000
 
 #: Cuts at white space only, as the full pattern does; the full pattern then sees each word once.
 _CHUNKS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
@@ -56,6 +56,23 @@ def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
     return flat[np.arange(total) + np.repeat(starts - ends + lengths, lengths)]
 
 
+class _Numbered(dict):
+    """Numbers strings in the order in which they are first asked for."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self._new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        self._new.append(key)
+        return number
+
+    def take_new(self) -> list[str]:
+        new, self._new = self._new, []
+        return new
+
+
 class ByteBpe:
     """A byte-level BPE vocabulary in the JSON format of the tokenizers library."""
 
@@ -87,27 +104,35 @@ class ByteBpe:
         self._forget()
 
     def _forget(self) -> None:
-        self._index: dict[str, int] = {}
+        self._index = _Numbered()
         self._starts = np.zeros(0, np.int64)
         self._lengths = np.zeros(0, np.int64)
         self._ids = np.zeros(0, np.uint32)
 
+    def _pairs_at(self, symbols: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """For each place, the number of the merge of it and the next symbol, or -1."""
+        found = np.full(len(at), -1)
+        inside = np.flatnonzero(at + 1 < len(symbols))
+        inside = inside[owner[at[inside]] == owner[at[inside] + 1]]
+        keys = symbols[at[inside]] << 32 | symbols[at[inside] + 1]
+        place = np.minimum(np.searchsorted(self._pair_keys, keys), len(self._pair_keys) - 1)
+        known = self._pair_keys[place] == keys
+        found[inside[known]] = place[known]
+        return found
+
+    def _ranks_of(self, pairs: np.ndarray) -> np.ndarray:
+        return np.where(pairs >= 0, self._pair_ranks[pairs], _NO_PAIR)
+
     def merge_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in one array, and how many belong to each word."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         symbols = self._byte_ids[np.frombuffer(b"".join(words), np.uint8)]
         owner = np.repeat(np.arange(len(words)), sizes)
+        pairs = self._pairs_at(symbols, owner, np.arange(len(symbols)))
+        ranks = self._ranks_of(pairs)
         done_owner, done_symbols = [], []
         while len(symbols):
             first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            place = np.full(len(symbols), -1)
-            ranks = np.full(len(symbols), _NO_PAIR)
-            left = np.flatnonzero(owner[1:] == owner[:-1])
-            keys = symbols[left] << 32 | symbols[left + 1]
-            found = np.minimum(np.searchsorted(self._pair_keys, keys), len(self._pair_keys) - 1)
-            known = self._pair_keys[found] == keys
-            place[left[known]] = found[known]
-            ranks[left[known]] = self._pair_ranks[found[known]]
             lowest = np.repeat(
                 np.minimum.reduceat(ranks, first), np.diff(np.r_[first, len(symbols)])
             )
@@ -116,15 +141,22 @@ class ByteBpe:
                 done_owner.append(owner[finished])
                 done_symbols.append(symbols[finished])
             at = np.flatnonzero((ranks == lowest) & ~finished)
+            stays = ~finished
             if len(at):
                 # in a run of overlapping pairs every second one merges, from the left
-                run = np.cumsum(np.r_[True, np.diff(at) != 1]) - 1
-                begins = at[np.r_[True, np.diff(at) != 1]]
-                at = at[(at - begins[run]) % 2 == 0]
-                symbols[at] = self._pair_ids[place[at]]
-            stays = ~finished
-            stays[at + 1] = False
-            symbols, owner = symbols[stays], owner[stays]
+                new_run = np.r_[True, np.diff(at) != 1]
+                begins = at[new_run]
+                at = at[(at - begins[np.cumsum(new_run) - 1]) % 2 == 0]
+                symbols[at] = self._pair_ids[pairs[at]]
+                stays[at + 1] = False
+            moved = np.cumsum(stays) - 1
+            symbols, owner, pairs, ranks = symbols[stays], owner[stays], pairs[stays], ranks[stays]
+            # only a merged symbol and the one before it have a new right neighbour
+            touched = np.zeros(len(symbols) + 1, bool)
+            touched[moved[at]] = touched[moved[at] - 1] = True  # -1 is the spare last place
+            fresh = np.flatnonzero(touched[:-1])
+            pairs[fresh] = self._pairs_at(symbols, owner, fresh)
+            ranks[fresh] = self._ranks_of(pairs[fresh])
         if not done_owner:
             return np.zeros(0, np.uint32), sizes
         owner = np.concatenate(done_owner)
@@ -133,14 +165,20 @@ class ByteBpe:
         return ids, np.bincount(owner, minlength=len(words))
 
     def _learn(self, chunks: list[str]) -> None:
-        """Encode chunks that the table lacks and append them to it."""
-        pieces = [_WORDS.findall(c) for c in chunks]
+        """Append the ids of new chunks, in order, to the table."""
+        pieces = [
+            [c] if c.isascii() and c.removeprefix(" ").isalpha() else _WORDS.findall(c)
+            for c in chunks
+        ]
+        marked = [i for i, c in enumerate(chunks) if c[0] == "\0" and c[1:] in self.special]
+        for i in marked:
+            pieces[i] = ["!"]  # any one symbol; its id is put in below
         ids, counts = self.merge_words([p.encode() for ps in pieces for p in ps])
         per_chunk = np.fromiter(map(len, pieces), np.int64, len(pieces))
         ends = np.r_[0, np.cumsum(counts)][np.cumsum(per_chunk)]
         lengths = np.diff(np.r_[0, ends])
-        for name in chunks:
-            self._index[name] = len(self._index)
+        for i in marked:
+            ids[ends[i] - 1] = self.special[chunks[i][1:]]
         self._starts = np.r_[self._starts, ends - lengths + len(self._ids)]
         self._lengths = np.r_[self._lengths, lengths]
         self._ids = np.r_[self._ids, ids]
@@ -153,20 +191,14 @@ class ByteBpe:
         ends = []
         for row in rows:
             if self._special and self._special.search(row):
+                # a special token is marked by NUL; a chunk of text never holds a whole one
                 for i, part in enumerate(self._special.split(row)):
                     chunks.extend([f"\0{part}"] if i % 2 else _CHUNKS.findall(part))
             else:
                 chunks.extend(_CHUNKS.findall(row))
             ends.append(len(chunks))
-        new = list(dict.fromkeys(c for c in chunks if c not in self._index))
-        marked = [c for c in new if c[0] == "\0" and c[1:] in self.special]
-        self._learn([c for c in new if not (c[0] == "\0" and c[1:] in self.special)])
-        for c in marked:  # a special token; a chunk of text has no NUL in front of its whole string
-            self._index[c] = len(self._index)
-            self._starts = np.r_[self._starts, len(self._ids)]
-            self._lengths = np.r_[self._lengths, 1]
-            self._ids = np.r_[self._ids, np.uint32(self.special[c[1:]])]
         which = np.fromiter(map(self._index.__getitem__, chunks), np.int64, len(chunks))
+        self._learn(self._index.take_new())
         lengths = self._lengths[which]
         ids = _gather(self._ids, self._starts[which], lengths)
         total = np.r_[0, np.cumsum(lengths)]
