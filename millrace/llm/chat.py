@@ -294,4 +294,6 @@ def read_back(tree: ChatTree, vocabulary: str) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("depth", "ids", "loss_from", "loss_to"))).alias("steps"))
         .select("path", digests("steps").alias("read"))
     )
-    return tree.conversations.join(whole, "path").select("conv_id", "read.*")
+    # stored, so that a conversation that very many rows repeat can be split in the join
+    read = materialize(whole, "read-back")
+    return tree.conversations.join(read, "path").select("conv_id", "read.*")

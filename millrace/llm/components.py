@@ -8,18 +8,30 @@ from pyspark.sql import functions as F
 from millrace.storage import discard, store
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _least(links: DataFrame, made: list[str]) -> DataFrame:
+    """``node, least``: the smallest neighbour of each ``a``.
+
+    Stored, so that its join with the links is between plain exchanges and adaptive execution
+    can split a node with very many neighbours.
+    """
+    least = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+    made.append(store(least, "least"))
+    return links.sparkSession.read.parquet(made[-1])
+
+
+def _large_star(links: DataFrame, made: list[str]) -> DataFrame:
     """Tie every larger neighbour of a node to the node's smallest neighbour."""
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
-    least = least.select("node", F.least("node", "least").alias("least"))
+    least = _least(both, made).select("node", F.least("node", "least").alias("least"))
     tied = both.join(least, both["a"] == least["node"]).filter(F.col("b") > F.col("a"))
     return tied.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, made: list[str]) -> DataFrame:
     """Tie a node and its smaller neighbours to the smallest of them; links go large to small."""
-    least = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+    made.append(store(links, "large-star"))
+    links = links.sparkSession.read.parquet(made[-1])
+    least = _least(links, made)
     tied = links.join(least, links["a"] == least["node"]).filter(F.col("b") != F.col("least"))
     return (
         least.select(F.col("node").alias("a"), F.col("least").alias("b"))
@@ -48,10 +60,11 @@ def connected_components(links: DataFrame) -> DataFrame:
     current = spark.read.parquet(path)
     now, before = _fingerprint(current), None
     while now != before and now[0]:
-        done = path
-        path = store(_small_star(_large_star(current)), "links")
+        done = [path]
+        path = store(_small_star(_large_star(current, done), done), "links")
         current = spark.read.parquet(path)
-        discard(spark, done)
+        for old in done:
+            discard(spark, old)
         now, before = _fingerprint(current), now
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.rows import quoted, row_key, unused
+from millrace.storage import materialize
 
 WIDTH = 3
 
@@ -54,11 +55,13 @@ def line_windows(docs: DataFrame) -> DataFrame:
 def later_windows(docs: DataFrame) -> DataFrame:
     """``doc, key, starts``: per row, the sorted numbers of its windows that occurred before."""
     windows = line_windows(docs)
-    repeated = (
+    # stored, so that the windows of a passage that very many texts share can be split in the join
+    repeated = materialize(
         windows.groupBy("a", "b")
         .agg(F.count("*").alias("n"), F.min("doc").alias("first"))
         .filter("n > 1")
-        .select("a", "b", "first")
+        .select("a", "b", "first"),
+        "repeated-lines",
     )
     met = windows.join(repeated, ["a", "b"])
     # inside the first document, a window is later if the sorted list has it just before

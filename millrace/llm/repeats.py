@@ -400,9 +400,14 @@ def _level(texts: DataFrame, kind: Kind, level: int) -> DataFrame:
         return spans
 
     mixed = met.filter("mixed").drop("c", "first", "mixed", "several")
-    each = mixed.groupBy("m", "s").agg(F.count("*").alias("c"), F.min("doc").alias("first"))
-    hot = each.groupBy("m").agg((F.count("*") > kind.hot).alias("hot"))
-    rows = mixed.join(each.join(hot, "m"), ["m", "s"])
+    each = materialize(
+        mixed.groupBy("m", "s").agg(F.count("*").alias("c"), F.min("doc").alias("first")), "each"
+    )
+    # only the hot grams are listed: few rows, whose join can be split like the others
+    hot = each.groupBy("m").agg(F.count("*").alias("k")).filter(F.col("k") > kind.hot)
+    hot = materialize(hot.select("m", F.lit(True).alias("hot")), "hot-grams")
+    known = each.join(hot, "m", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    rows = mixed.join(known, ["m", "s"])
     covered = F.col("doc") > F.col("first") if kind.earlier else F.col("c") > 1
     spans = spans.union(
         rows.filter(covered).select("doc", "key", (F.col("base") + F.col("at")).alias("start"), "n")

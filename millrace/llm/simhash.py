@@ -153,7 +153,7 @@ def labelled(
     parts = connected_components(links)
     # the smallest id of a component, from one row for each fingerprint that has a link
     linked = parts.join(firsts, parts["node"] == firsts["fingerprint"]).select("node", "root", "first")
-    smallest = linked.groupBy("root").agg(F.min("first").alias("smallest"))
+    smallest = materialize(linked.groupBy("root").agg(F.min("first").alias("smallest")), "smallest")
     alone = F.col("node").isNull()
     labels = materialize(
         firsts.join(linked.drop("first").join(smallest, "root"), F.col("fingerprint") == F.col("node"), "left")
