@@ -142,7 +142,7 @@ class Kind:
     #: Whether a window is repeated if it occurs in a row with a smaller id, or anywhere else.
     earlier: bool
     #: Different super-windows around one gram that one bucket takes.
-    hot: int = 2000
+    hot: int = 500
 
     def hasher(self) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
         return byte_hashes if self.symbols == "bytes" else WordHashes()

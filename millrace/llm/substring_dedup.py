@@ -31,7 +31,7 @@ FIELDS = {
 }
 
 
-def word_windows(width: int = 50, hot: int = 2000) -> Kind:
+def word_windows(width: int = 50, hot: int = 500) -> Kind:
     """Minimisers of 8 words; for surroundings of frequent ones, of half and of all the window."""
     grams = (max(1, min(8, width // 2)), max(1, width // 2), width)
     return Kind("words", width, tuple(dict.fromkeys(grams)), earlier=True, hot=hot)
@@ -59,7 +59,7 @@ def _kept_words(width: int, with_text: bool) -> Column:
 
 
 def remove_repeated_words(
-    docs: DataFrame, width: int = 50, hot: int = 2000, with_text: bool = True
+    docs: DataFrame, width: int = 50, hot: int = 500, with_text: bool = True
 ) -> DataFrame:
     """Per document ``doc_id, n_words, n_removed, kept_sha256`` and the ``kept`` words.
 

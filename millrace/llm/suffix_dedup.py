@@ -33,7 +33,7 @@ FIELDS = {
 }
 
 
-def byte_windows(width: int = 400, hot: int = 2000) -> Kind:
+def byte_windows(width: int = 400, hot: int = 500) -> Kind:
     """Minimisers of 64 bytes; for surroundings of frequent ones, of half and of all the string."""
     grams = (max(1, min(64, width // 2)), max(1, width // 2), width)
     return Kind("bytes", width, tuple(dict.fromkeys(grams)), earlier=False, hot=hot)
@@ -61,7 +61,7 @@ def _kept_bytes(width: int, with_text: bool) -> Column:
 
 
 def remove_repeated_bytes(
-    docs: DataFrame, width: int = 400, hot: int = 2000, with_text: bool = True
+    docs: DataFrame, width: int = 400, hot: int = 500, with_text: bool = True
 ) -> DataFrame:
     """Per document ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and the ``kept`` bytes.
 
