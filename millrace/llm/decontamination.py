@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,29 +63,45 @@ def passages(benchmark: DataFrame, width: int) -> DataFrame:
     return rows.distinct()
 
 
+class _WordNumbers(dict):
+    """Numbers of the words that passages use; 0 for any other word."""
+
+    def __missing__(self, word: bytes) -> int:
+        return 0
+
+
 class PassageFinder:
     """An automaton over word numbers; ``rows`` are (passage, item ids)."""
 
     def __init__(self, rows: list[tuple[str, list[str]]]):
-        self._number: dict[bytes, int] = {}
+        self._number = _WordNumbers()
         self._automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        self._shortest = 0
         for passage, items in rows:
             words = passage.encode().split()
-            key = tuple(self._number.setdefault(w, len(self._number) + 1) for w in words)
+            for word in words:
+                self._number.setdefault(word, len(self._number) + 1)
+            key = tuple(self._number[w] for w in words)
             self._automaton.add_word(key, (len(key), items))
+            self._shortest = min(self._shortest or len(key), len(key))
         if rows:
             self._automaton.make_automaton()
-        self._empty = not rows
 
     def find(self, words: list[bytes]) -> Iterator[tuple[int, int, list[str]]]:
-        """(first word, word after the last, item ids) of every occurrence, by its end."""
-        if self._empty or not words:
-            return
-        numbers = tuple([self._number.get(w, 0) for w in words])
-        if not any(numbers):
+        """(first word, word after the last, item ids) of every occurrence, by its end.
+
+        A passage lies inside a run of words that passages use, and most runs are shorter
+        than the shortest passage; the automaton sees only the others.
+        """
+        if not self._shortest or not words:
             return
-        for end, (size, items) in self._automaton.iter(numbers):
-            yield end + 1 - size, end + 1, items
+        numbers = np.fromiter(map(self._number.__getitem__, words), np.int64, len(words))
+        edges = np.flatnonzero(np.diff(np.r_[0, numbers > 0, 0]))
+        begins, ends = edges[::2], edges[1::2]
+        long = ends - begins >= self._shortest
+        for begin, end in zip(begins[long].tolist(), ends[long].tolist(), strict=True):
+            for last, (size, items) in self._automaton.iter(tuple(numbers[begin:end].tolist())):
+                yield begin + last + 1 - size, begin + last + 1, items
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
