@@ -6,8 +6,11 @@ first occurrence, in order of ``doc_id`` and then of place, stays; lines covered
 later occurrence are removed, with the blank lines between them. Windows are judged on the input, not on what is left.
 
 Null texts have no lines and stay null, texts of fewer than three lines have no window. Rows
-with a null id count as the last ones, and rows with equal ids as one document that goes on:
-the same row twice loses nothing to its repetition. Any text is one row, at any length.
+with a null id count as the last ones. Rows with equal ids are told apart by place alone:
+a window that stands further on than its first occurrence is a later one, also when another
+row holds that first one. At equal ids and equal places nothing says which row comes first,
+so they all stay, and the same row twice loses nothing to its repetition. Any text is one
+row, at any length.
 """
 
 from __future__ import annotations
@@ -55,29 +58,17 @@ def line_windows(docs: DataFrame) -> DataFrame:
 def later_windows(docs: DataFrame) -> DataFrame:
     """``doc, key, starts``: per row, the sorted numbers of its windows that occurred before."""
     windows = line_windows(docs)
+    place = F.struct("doc", "nth")
     # stored, so that the windows of a passage that very many texts share can be split in the join
     repeated = materialize(
         windows.groupBy("a", "b")
-        .agg(F.count("*").alias("n"), F.min("doc").alias("first"))
+        .agg(F.count("*").alias("n"), F.min(place).alias("first"))
         .filter("n > 1")
         .select("a", "b", "first"),
         "repeated-lines",
     )
-    met = windows.join(repeated, ["a", "b"])
-    # inside the first document, a window is later if the sorted list has it just before
-    per_row = met.groupBy("doc", "key").agg(
-        F.array_sort(
-            F.collect_set(F.struct("a", "b", "nth", (F.col("doc") > F.col("first")).alias("later")))
-        ).alias("found")
-    )
-
-    def place(w: Column, i: Column) -> Column:
-        before = F.get("found", i - 1)
-        again = (i > 0) & (before["a"] == w["a"]) & (before["b"] == w["b"])
-        return F.when(w["later"] | F.coalesce(again, F.lit(False)), w["nth"])
-
-    places = F.array_sort(F.filter(F.transform("found", place), lambda n: n.isNotNull()))
-    return per_row.select("doc", "key", places.alias("starts")).filter(F.size("starts") > 0)
+    later = windows.join(repeated, ["a", "b"]).filter(place > F.col("first"))
+    return later.groupBy("doc", "key").agg(F.array_sort(F.collect_set("nth")).alias("starts"))
 
 
 def with_kept_lines(docs: DataFrame, kept: str, removed: str) -> DataFrame:

@@ -158,6 +158,18 @@ def test_repeated_rows_lose_the_same_lines(spark):
     assert got == [(1, 0), (1, 0), (1, 0), (2, 3)]
 
 
+def test_lines_of_rows_with_equal_ids(spark):
+    rows = line_rows() + [
+        (200, "p\nq\nr"), (200, "x\np\nq\nr"),  # the second row has the passage further on
+        (None, "k\nl\nm\nn"), (None, "y\nk\nl\nm\nn"), (None, "y\nz\nk\nl\nm\nn"),
+        (8, "u\nv\nw\n1"), (8, "u\nv\nw\n2"),  # equal places: both stay
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = found(line_dedup.line_dedup_report(df))
+    assert got == lines_left(rows)
+    assert sorted(r[2] for r in got if r[0] == 200) == [0, 3]
+
+
 def test_lines_keep_the_other_columns(wide):
     out = line_dedup.drop_repeated_lines(wide)
     assert out.columns == wide.columns
