@@ -160,6 +160,20 @@ def test_line_rules():
     assert fails(" ".join(["word"] * 60)) == "punctuation"
 
 
+def test_sentences_end_in_every_script(spark):
+    words = " ".join(f"word{i}" for i in range(60))
+    ends = ["।", "॥", "۔", "؟", "։", "።", "။", "។", "。", "！", "？", "．", "｡", "…", "‼", "༎", "᠃", "𑁇"]
+    ends += [".[1]", '."', ".”", ".“", ".’", ".»", ".)", '?")', "!]", ".[12][a]", ".[citation needed]", ".²", ".†",
+             ".**", "._", ".(3)", ".\u200f", ".\xa0"]
+    docs = spark.createDataFrame(list(enumerate(words + e for e in ends)), "doc_id long, text string")
+    lost = [ends[r.doc_id] for r in quality.quality_report(docs).filter("not kept").collect()]
+    assert lost == []
+    assert all(quality.has_sentence_end(f"one{e} two".encode()) for e in ends)
+    for none in ("3.14", "example.com/a", "a,", "node.js[1]x", "x.(y)z", "", "[.]x", "(1)", '"', "l’eau"):
+        assert not quality.has_sentence_end(f"one {none} two".encode())
+        assert quality.line_fails(f"{words} {none} two".encode(), 62, quality.LineRules()) == "punctuation"
+
+
 def test_documents_that_lose_too_much_go(spark, wide):
     good = " ".join(f"word{i}" for i in range(60)) + "."
     menu = " | ".join(f"item{i}" for i in range(12))
