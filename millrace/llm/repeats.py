@@ -9,8 +9,10 @@ Shared by the substring operators: symbols are words or bytes, a window is ``wid
    stands several times in its super-window; where all super-windows of a gram are
    equal, they are repeated as a whole.
 3. What is left - different super-windows around one gram - travels as one packed string
-   each to its gram's bucket. Equal ones collapse first. In the bucket the windows are
+   each to its gram's bucket: equal ones collapse to their first occurrence, in one row or in
+   many rows of one id alike. In the bucket the windows are
    sorted exactly, by refining buckets of equal grams with the bucket numbers of later offsets.
+   Where only earlier ids count, the spans found join back to the equal ones of the first id.
 4. A gram with many different surroundings (a passage that very many texts share) would fill
    one task. Its strings go through the same steps with longer grams, the last as long as
    the window, where equal windows simply share a key.
@@ -264,7 +266,8 @@ def repeated_runs(kind: Kind, rows: list[bytes], docs: np.ndarray):
 
 #: A text: (doc, key) name its row, ``base`` is where it starts in that row's symbols.
 TEXT = "doc long, key long, base long, text binary"
-SPAN = "doc long, key long, start long, n long"
+#: Repeated windows: ``base`` is that of the text, or where the packed string starts.
+SPAN = "doc long, key long, base long, start long, n long"
 OCCURRENCE = f"{TEXT.removesuffix(', text binary')}, at long, n long, m long, s long, several boolean"
 PACKED = "m long, doc long, key long, start long, hot boolean, text binary"
 
@@ -351,7 +354,7 @@ def _sorted_buckets(packed: DataFrame, kind: Kind) -> DataFrame:
     def work(m: list, doc: list, key: list, start: list, text: list) -> pa.RecordBatch:
         docs, keys, starts = (np.array(x, np.int64) for x in (doc, key, start))
         row, at, n = repeated_runs(kind, text, docs)
-        return _batch(doc=docs[row], key=keys[row], start=starts[row] + at, n=n)
+        return _batch(doc=docs[row], key=keys[row], base=starts[row], start=starts[row] + at, n=n)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = [[], [], [], [], []]
@@ -394,31 +397,49 @@ def _level(texts: DataFrame, kind: Kind, level: int) -> DataFrame:
     discard(spark, grams)
     discard(spark, stored)
     repeated = F.col("doc") > F.col("first") if kind.earlier else F.lit(True)
-    spans = met.filter(~F.col("mixed") & repeated)
-    spans = spans.select("doc", "key", (F.col("base") + F.col("at")).alias("start"), "n")
+    own = ["doc", "key", "base", (F.col("base") + F.col("at")).alias("start"), "n"]
+    spans = met.filter(~F.col("mixed") & repeated).select(*own)
     if last:
         return spans
 
     mixed = met.filter("mixed").drop("c", "first", "mixed", "several")
+    here = F.struct("doc", "key", "base", "at")
     each = materialize(
-        mixed.groupBy("m", "s").agg(F.count("*").alias("c"), F.min("doc").alias("first")), "each"
+        mixed.groupBy("m", "s").agg(F.count("*").alias("c"), F.min(here).alias("first")), "each"
     )
     # only the hot grams are listed: few rows, whose join can be split like the others
     hot = each.groupBy("m").agg(F.count("*").alias("k")).filter(F.col("k") > kind.hot)
     hot = materialize(hot.select("m", F.lit(True).alias("hot")), "hot-grams")
     known = each.join(hot, "m", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     rows = mixed.join(known, ["m", "s"])
-    covered = F.col("doc") > F.col("first") if kind.earlier else F.col("c") > 1
-    spans = spans.union(
-        rows.filter(covered).select("doc", "key", (F.col("base") + F.col("at")).alias("start"), "n")
-    )
-    packed = materialize(_packed(texts, rows.filter(F.col("doc") == F.col("first")), kind), "packed")
-    spans = spans.union(_sorted_buckets(packed.filter(~F.col("hot")), kind))
+    covered = F.col("doc") > F.col("first.doc") if kind.earlier else F.col("c") > 1
+    spans = spans.union(rows.filter(covered).select(*own))
+    packed = materialize(_packed(texts, rows.filter(here == F.col("first")), kind), "packed")
+    inside = _sorted_buckets(packed.filter(~F.col("hot")), kind)
     rest = packed.filter("hot")
-    if rest.isEmpty():
-        return spans
-    rest = rest.select("doc", "key", F.col("start").alias("base"), "text")
-    return spans.union(_level(rest, kind, level + 1))
+    if not rest.isEmpty():
+        rest = rest.select("doc", "key", F.col("start").alias("base"), "text")
+        inside = inside.union(_level(rest, kind, level + 1))
+    if not kind.earlier:  # one that occurs again is covered as a whole, so the others stand alone
+        return spans.union(inside)
+    # stored, so that the join below can be split
+    inside = materialize(
+        inside.select(
+            *(F.col(c).alias(f"first_{c}") for c in ("doc", "key")),
+            F.col("base").alias("first_start"),
+            (F.col("start") - F.col("base")).alias("offset"),
+            F.col("n").alias("length"),
+        ),
+        "inside",
+    )
+    alike = rows.filter(F.col("doc") == F.col("first.doc")).select(
+        "doc", "key", "base", "at",
+        F.col("first.doc").alias("first_doc"), F.col("first.key").alias("first_key"),
+        (F.col("first.base") + F.col("first.at")).alias("first_start"),
+    )
+    start = (F.col("base") + F.col("at") + F.col("offset")).alias("start")
+    back = alike.join(inside, ["first_doc", "first_key", "first_start"])
+    return spans.union(back.select("doc", "key", "base", start, F.col("length").alias("n")))
 
 
 def repeated_windows(docs: DataFrame, kind: Kind) -> DataFrame:

@@ -71,6 +71,31 @@ def test_long_texts_are_cut_into_overlapping_parts(edge, monkeypatch):
     assert found(got) == bytes_left(edge_rows(), 60)
 
 
+def passage_rows():
+    """One passage in many rows without ids, and edited in a few others."""
+    rng = np.random.default_rng(8)
+    passage = [f"w{x}" for x in rng.integers(0, 500, 200)]
+    rows = [(None, " ".join([f"head{i}", *passage, f"tail{i}"])) for i in range(60)]
+    rows += [(3, " ".join([*passage[: 40 * i], f"edit{i}", *passage[40 * i + 1 :]])) for i in range(1, 4)]
+    return rows + [(None, " ".join(passage + ["mid"] + passage)), rows[0]]
+
+
+@pytest.mark.parametrize("hot", [500, 1])
+def test_equal_strings_of_one_id_are_sorted_once(spark, monkeypatch, hot):
+    copies, sort = [], repeats._sorted_buckets
+
+    def watched(packed, kind):
+        copies.append(packed.groupBy("m", "text").count().filter("count > 1").count())
+        return sort(packed, kind)
+
+    monkeypatch.setattr(repeats, "_sorted_buckets", watched)
+    rows = passage_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(substring_dedup.remove_repeated_words(df, 20, hot).drop("kept")) == words_left(rows, 20)
+    assert found(suffix_dedup.remove_repeated_bytes(df, 60, hot).drop("kept")) == bytes_left(rows, 60)
+    assert copies and not any(copies)
+
+
 def test_kept_text_matches_its_digest(edge):
     for row in suffix_dedup.remove_repeated_bytes(edge, 100).collect():
         assert sha256(row.kept).hexdigest() == row.kept_sha256
