@@ -13,13 +13,16 @@ from millrace.llm import (
     byte_bpe,
     chat,
     decontamination,
+    fill_middle,
     line_dedup,
     quality,
+    sharding,
     simhash,
     substring_dedup,
     suffix_dedup,
     token_counts,
     url_filter,
+    whitening,
 )
 from millrace.llm.rows import bound_batches, read
 
@@ -110,3 +113,23 @@ def op9_suffix_dedup(spark, sf_dir):
 @query
 def op10_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup_report(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_fill_middle(spark, sf_dir):
+    made = fill_middle.fill_in_middle(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored("output", "form"), 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op12_sharding(spark, sf_dir):
+    return sharding.shard_report(read(spark, sf_dir, "documents"), shards=24)
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    return whitening.whitening_report(read(spark, sf_dir, "embeddings"))
