@@ -111,10 +111,10 @@ def new_map(spark: SparkSession, shards: int, slots: int = SLOTS, path: str | No
     return made
 
 
-def _least_filled(shards: int, kept: Column, moving: Column) -> Column:
+def _least_filled(kept: Column, moving: Column) -> Column:
     """``moving`` slots, largest first, each given the shard with the fewest bytes by then."""
     begin = F.struct(
-        F.transform(kept, lambda x: x).alias("loads"),
+        kept.alias("loads"),
         F.array().cast("array<struct<vslot:int,shard:int>>").alias("dealt"),
     )
 
@@ -143,22 +143,20 @@ def rebalanced(current: DataFrame, filled: DataFrame, shards: int) -> DataFrame:
     # a shard's largest slot stays even if it exceeds the share: nowhere is more room
     stays = (so_far <= F.col("share")) | (F.row_number().over(order) == 1)
     marked = all_slots.withColumn("share", share).withColumn("stays", stays)
-    loads = (
-        marked.groupBy("shard")
-        .agg(F.sum(F.when(F.col("stays"), F.col("bytes")).otherwise(0)).alias("bytes"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("shard", "bytes"))).alias("m"))
+    load = F.sum(F.when(F.col("stays"), F.col("bytes")).otherwise(0)).over(W.partitionBy("shard"))
+    moving = F.when(~F.col("stays"), F.struct((-F.col("bytes")).alias("less"), F.col("vslot").alias("vslot")))
+    one_row = marked.withColumn("load", load).agg(
+        F.map_from_entries(F.collect_set(F.struct("shard", "load"))).alias("loads"),
+        F.array_sort(F.collect_list(moving)).alias("moving"),
     )
     kept = F.transform(
-        F.sequence(F.lit(0), F.lit(shards - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("long"))
+        F.sequence(F.lit(0), F.lit(shards - 1)),
+        lambda i: F.coalesce(F.try_element_at("loads", i), F.lit(0).cast("long")),
     )
     largest_first = F.transform(
-        F.array_sort(
-            F.collect_list(F.struct((-F.col("bytes")).alias("less"), F.col("vslot").alias("vslot")))
-        ),
-        lambda s: F.struct(s["vslot"].alias("vslot"), (-s["less"]).alias("bytes")),
+        "moving", lambda s: F.struct(s["vslot"].alias("vslot"), (-s["less"]).alias("bytes"))
     )
-    moving = marked.filter(~F.col("stays")).agg(largest_first.alias("moving"))
-    moved = moving.join(loads).select(F.inline(_least_filled(shards, kept, F.col("moving"))))
+    moved = one_row.select(F.inline(_least_filled(kept, largest_first)))
     return marked.filter("stays").select("vslot", "shard").union(moved)
 
 
