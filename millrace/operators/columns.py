@@ -1,33 +1,41 @@
-"""Column statistics of tall matrices.
+"""Column statistics of tall matrices, by one path for every width.
 
 A matrix is a DataFrame and either a list of numeric columns or the name of one array
-column. Up to ``NARROW`` listed columns become a single aggregate of built-in functions;
-wider matrices go through MLlib, whose executors combine partial results tree-wise. Only
-(columns x columns) results ever reach the driver, of at most ``MAX_WIDTH`` columns.
-
-Both ways follow one contract. A row with a null in any of its cells is left out as a whole;
-:func:`incomplete_rows` counts such rows. A matrix without complete rows has an empty result.
+column. Tasks fold their rows, batch by batch, into states of fixed size (counts, means, squared
+deviations, products of columns), and Spark's aggregates merge the states. Entries of
+(columns x columns) results stay distributed: their upper half is cut into ranges of rows that a task
+can hold, and only numbers per column reach the driver.
+
+A row with a null in any of its cells is left out as a whole; :func:`incomplete_rows` counts such
+rows. NaN is a value: it makes its column's sums, means, norms, variances and all its products and
+cosines NaN, is the largest value of a column, and its smallest only if there is no other. A matrix
+without complete rows has an empty result. Rows of different lengths raise.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
-from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-NARROW = 16
+from millrace.storage import materialize
 
-#: Widest matrix whose column pairs are computed: 128 MB of doubles on the driver.
-MAX_WIDTH = 4096
+#: Entries of a result that a task holds at once: 32 MB of doubles.
+HELD_ENTRIES = 1 << 22
+#: Entries of one row of a result that travel together.
+STRIP = 64
+_BATCH_ROWS = 4096
 
 Columns = list[str] | str
 
@@ -79,15 +87,11 @@ def vectors(df: DataFrame, columns: Columns) -> DataFrame:
 
 
 def matrix_width(df: DataFrame, columns: Columns) -> int:
-    """Number of columns, 0 if an array matrix has no complete rows; too wide ones raise."""
-    if isinstance(columns, str):
-        first = complete_rows(df, columns).select(F.size(columns)).first()
-        width = first[0] if first else 0
-    else:
-        width = len(columns)
-    if width > MAX_WIDTH:
-        raise ValueError(f"{width} columns; column pairs are computed up to {MAX_WIDTH}")
-    return width
+    """Number of columns, 0 if an array matrix has no complete rows."""
+    if not isinstance(columns, str):
+        return len(columns)
+    first = complete_rows(df, columns).select(F.size(columns)).first()
+    return first[0] if first else 0
 
 
 def _has_rows(df: DataFrame, columns: Columns) -> bool:
@@ -112,143 +116,243 @@ def matrix_entries(df: DataFrame, values: np.ndarray, names: tuple[str, str]) ->
     return df.sparkSession.createDataFrame(local, schema)
 
 
-def _is_narrow(columns: Columns) -> bool:
-    return not isinstance(columns, str) and len(columns) <= NARROW
-
-
-def _pair_rows(one_row: DataFrame, n: int, entry) -> DataFrame:
-    """Square matrix ``(i, j, value)`` from a one-row aggregate; ``entry(i, j)`` for i <= j."""
-    cells = [
-        F.struct(
-            F.lit(i).cast("long").alias("i"),
-            F.lit(j).cast("long").alias("j"),
-            entry(min(i, j), max(i, j)).alias("value"),
-        )
-        for i in range(n)
-        for j in range(n)
-    ]
-    return one_row.select(F.inline(F.array(*cells)))
+def _rows(df: DataFrame, columns: Columns) -> DataFrame:
+    return complete_rows(df, columns).select(feature_array(columns).alias("x"))
+
+
+def blocks_of_rows(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[np.ndarray]:
+    """The rows of an array column as matrices of a bounded number of rows."""
+    width = None
+    for batch in batches:
+        lists = batch.column(column)
+        if not len(lists):
+            continue
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        sizes = np.diff(lists.offsets.to_numpy())
+        width = int(sizes[0]) if width is None else width
+        if (sizes != width).any():
+            raise ValueError(f"rows of {int(sizes[sizes != width][0])} and {width} cells in one matrix")
+        x = flat.reshape(len(sizes), width)
+        for begin in range(0, len(x), _BATCH_ROWS):
+            yield x[begin : begin + _BATCH_ROWS]
+
+
+_STATE = "i long, n long, non_zeros long, max double, min double, mean double, m2 double, l1 double, squares double"
+
+
+def _summary_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One state for each column of a task's rows."""
+    state = None
+    with np.errstate(all="ignore"):
+        for x in blocks_of_rows(batches):
+            n, mean = len(x), x.mean(axis=0)
+            part = [
+                np.count_nonzero(x, axis=0), x.max(axis=0), np.fmin.reduce(x, axis=0), mean,
+                ((x - mean) ** 2).sum(axis=0), np.abs(x).sum(axis=0), (x * x).sum(axis=0),
+            ]
+            if state is None:
+                count, state = n, part
+                continue
+            gap, both = mean - state[3], count + n
+            state = [
+                state[0] + part[0], np.maximum(state[1], part[1]), np.fmin(state[2], part[2]),
+                state[3] + gap * (n / both), state[4] + part[4] + gap * gap * (count * n / both),
+                state[5] + part[5], state[6] + part[6],
+            ]
+            count = both
+    if state is not None:
+        names = ("non_zeros", "max", "min", "mean", "m2", "l1", "squares")
+        width = len(state[0])
+        fixed = {"i": np.arange(width, dtype=np.int64), "n": np.full(width, count, np.int64)}
+        yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in {**fixed, **dict(zip(names, state, strict=True))}.items()})
 
 
 def column_summary(df: DataFrame, columns: Columns) -> DataFrame:
     """One row per column: count, non-zeros, max, min, mean, variance, L1 and L2 norm."""
-    if not _is_narrow(columns):
-        return _vector_summary(df, columns)
-    df = complete_rows(df, columns)
-    stats = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        stats.append(
-            F.struct(
-                F.count(x).alias("n"),
-                F.count(F.when(x != 0, x)).alias("non_zeros"),
-                F.max(x).alias("max"),
-                F.min(x).alias("min"),
-                F.avg(x).alias("mean"),
-                F.var_samp(x).alias("variance"),
-                F.sum(F.abs(x)).alias("l1"),
-                F.sqrt(F.sum(x * x)).alias("l2"),
-            ).alias(c)
+    states = _rows(df, columns).mapInArrow(_summary_states, _STATE)
+    column = W.partitionBy("i")
+    centre = F.sum(F.col("n") * F.col("mean")).over(column) / F.sum("n").over(column)
+    away = F.col("mean") - F.col("centre")
+    n, m2 = F.sum("n"), F.sum(F.col("m2") + F.col("n") * away * away)
+    return (
+        states.withColumn("centre", centre)
+        .groupBy("i")
+        .agg(
+            n.alias("n"),
+            F.sum("non_zeros").alias("non_zeros"),
+            F.max("max").alias("max"),
+            F.min("min").alias("min"),
+            F.max("centre").alias("mean"),
+            F.when(n > 1, m2 / (n - 1)).alias("variance"),
+            F.sum("l1").alias("l1"),
+            F.sqrt(F.sum("squares")).alias("l2"),
         )
-    rows = [
-        F.struct(F.lit(i).cast("long").alias("i"), F.col(c).alias("s"))
-        for i, c in enumerate(columns)
-    ]
-    found = df.agg(*stats).select(F.inline(F.array(*rows))).select("i", "s.*")
-    return found.filter(F.col("n") > 0)
-
-
-def _vector_summary(df: DataFrame, columns: Columns) -> DataFrame:
-    metrics = {
-        "non_zeros": "numNonZeros",
-        "max": "max",
-        "min": "min",
-        "mean": "mean",
-        "variance": "variance",
-        "l1": "normL1",
-        "l2": "normL2",
-    }
-    if not _has_rows(df, columns):
-        values = ", ".join(f"{name} double" for name in metrics if name != "non_zeros")
-        return df.sparkSession.createDataFrame([], f"i long, n long, non_zeros long, {values}")
-    summary = Summarizer.metrics("count", *metrics.values()).summary(F.col("v"))
-    one_row = vectors(df, columns).agg(summary.alias("s"))
-    zipped = F.arrays_zip(
-        *[vector_to_array(F.col(f"s.{m}")).alias(name) for name, m in metrics.items()]
     )
-    return (
-        one_row.select(F.col("s.count").alias("n"), F.posexplode(zipped).alias("i", "m"))
-        .select(F.col("i").cast("long").alias("i"), "n", "m.*")
-        .withColumn("non_zeros", F.col("non_zeros").cast("long"))
+
+
+Block = Callable[[np.ndarray, int, int], np.ndarray]
+
+
+def _products(rows: np.ndarray, begin: int, end: int) -> np.ndarray:
+    """Columns ``begin`` to ``end`` times all columns from ``begin`` on."""
+    return rows[:, begin:end].T @ rows[:, begin:]
+
+
+def upper_entries(rows: DataFrame, width: int, block: Block, no_entry: np.ndarray | None = None) -> DataFrame:
+    """``(i, j, value)`` for i <= j: sums over blocks of rows of the matrices that ``block`` makes.
+
+    ``rows`` has an array column ``x`` of ``width`` cells. ``block(rows, a, b)`` gives the entries
+    of rows a to b of the result, from column a on. The ranges of rows of a wide result are
+    separate scans, so that a task holds one range; strips of entries are summed by key. Columns marked
+    in ``no_entry`` have none.
+    """
+    if not width:
+        return _no_entries(rows)
+    strip = min(STRIP, width)
+    if width > 4 * STRIP:  # as many rows for a task as make its sums smaller than its rows
+        rows = materialize(rows, "wide-rows")  # scanned once for each range
+        rows = rows.coalesce(max(1, rows.count() // (4 * width)))
+    step = max(strip, HELD_ENTRIES // width // strip * strip)
+    kind = "i int, strip int, " + ", ".join(f"c{k} double" for k in range(strip))
+    absent = np.zeros(width, bool) if no_entry is None else no_entry
+
+    def sums(begin: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        end = min(width, begin + step)
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for x in blocks_of_rows(batches):
+                part = block(x, begin, end)
+                total = part if total is None else np.add(total, part, out=total)
+            if total is None:
+                return
+            first = begin // strip
+            strips = -(-width // strip) - first
+            padded = np.zeros((end - begin, strips * strip))
+            padded[:, : width - begin] = total
+            none = np.ones(strips * strip, bool)
+            none[: width - begin] = absent[begin:]
+            for s in range(strips):  # rows of the upper half that reach into this strip
+                i = np.arange(begin, min(end, (first + s + 1) * strip))
+                cells = padded[: len(i), s * strip : (s + 1) * strip]
+                mask = none[None, s * strip : (s + 1) * strip] | absent[i][:, None]
+                columns = {f"c{k}": pa.array(cells[:, k], mask=mask[:, k]) for k in range(strip)}
+                key = {"i": pa.array(i, pa.int32()), "strip": pa.array(np.full(len(i), first + s), pa.int32())}
+                yield pa.RecordBatch.from_pydict({**key, **columns})
+
+        return work
+
+    with_numbers = reduce(
+        DataFrame.union, [rows.mapInArrow(sums(begin), kind) for begin in range(0, width, step)]
     )
+    cells = [f"c{k}" for k in range(strip)]
+    summed = with_numbers.groupBy("i", "strip").agg(*[F.sum(c).alias(c) for c in cells])
+    entries = summed.select("i", "strip", F.posexplode(F.array(*cells)).alias("at", "value"))
+    j = F.col("strip") * F.lit(strip) + F.col("at")
+    entries = entries.select(F.col("i").cast("long").alias("i"), j.cast("long").alias("j"), "value")
+    return entries.filter((F.col("i") <= F.col("j")) & F.col("value").isNotNull())
 
 
-def _dot_products(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row with a column ``d_i_j`` for the product of columns ``i <= j``; none without data."""
-    df = complete_rows(df, columns)
-    x = [F.col(c).cast("double") for c in columns]
-    pairs = combinations_with_replacement(range(len(x)), 2)
-    sums = df.agg(F.count("*").alias("n"), *[F.sum(x[i] * x[j]).alias(f"d_{i}_{j}") for i, j in pairs])
-    return sums.filter(F.col("n") > 0)
+def mirrored(upper: DataFrame) -> DataFrame:
+    """Both halves of a symmetric matrix."""
+    here, there = F.struct("i", "j", "value"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), "value")
+    return upper.select(F.inline(F.when(F.col("i") == F.col("j"), F.array(here)).otherwise(F.array(here, there))))
+
+
+def column_dot(df: DataFrame, columns: Columns) -> DataFrame:
+    """Products of all column pairs ``i <= j``."""
+    return upper_entries(_rows(df, columns), matrix_width(df, columns), _products)
 
 
 def gramian(df: DataFrame, columns: Columns) -> DataFrame:
     """``(i, j, value)`` of the transposed matrix times itself."""
-    if _is_narrow(columns):
-        dots = _dot_products(df, columns)
-        return _pair_rows(dots, len(columns), lambda i, j: F.col(f"d_{i}_{j}"))
-    if not _has_rows(df, columns):
-        return _no_entries(df)
-    local = mllib_rows(df, columns).computeGramianMatrix().toArray()
-    return matrix_entries(df, local, ("i", "j"))
+    return mirrored(column_dot(df, columns))
+
+
+def _per_column(df: DataFrame, columns: Columns, *names: str) -> tuple[int, list[np.ndarray]]:
+    """The number of complete rows and some summary columns, as arrays over the matrix columns."""
+    found = column_summary(df, columns).select("i", "n", *names).toPandas().sort_values("i")
+    return (int(found["n"].iloc[0]) if len(found) else 0), [found[name].to_numpy(float) for name in names]
 
 
 def covariance(df: DataFrame, columns: Columns) -> DataFrame:
-    """``(i, j, value)`` of the sample covariance (n - 1); a single complete row raises."""
-    if _is_narrow(columns):
-        df = complete_rows(df, columns)
-        x = [F.col(c).cast("double") for c in columns]
-        pairs = combinations_with_replacement(range(len(x)), 2)
-        sums = df.agg(
-            F.count("*").alias("n"),
-            *[F.covar_samp(x[i], x[j]).alias(f"c_{i}_{j}") for i, j in pairs],
-        ).filter(F.col("n") > 0)
-        few = F.raise_error(F.lit("covariance needs at least two rows")).cast("double")
-        return _pair_rows(
-            sums, len(columns), lambda i, j: F.when(F.col("n") < 2, few).otherwise(F.col(f"c_{i}_{j}"))
-        )
-    if not _has_rows(df, columns):
+    """``(i, j, value)`` of the sample covariance (n - 1); a single complete row raises.
+
+    Rows are centred before they are multiplied.
+    """
+    n, (mean,) = _per_column(df, columns, "mean")
+    if not n:
         return _no_entries(df)
-    rows = mllib_rows(df, columns)
-    if rows.numRows() < 2:
+    if n < 2:
         raise ValueError("covariance needs at least two rows")
-    return matrix_entries(df, rows.computeCovariance().toArray(), ("i", "j"))
 
+    def centred(rows: np.ndarray, begin: int, end: int) -> np.ndarray:
+        return _products(rows - mean, begin, end) / (n - 1)
 
-def column_dot(df: DataFrame, columns: Columns) -> DataFrame:
-    """Products of all column pairs ``i <= j``."""
-    return gramian(df, columns).filter(F.col("i") <= F.col("j"))
+    return mirrored(upper_entries(_rows(df, columns), len(mean), centred))
 
 
 def column_cosine(df: DataFrame, columns: Columns) -> DataFrame:
     """Exact cosine of all column pairs ``i < j``; an all-zero column has no entry."""
-    if _is_narrow(columns):
-        one_row = _dot_products(df, columns)
+    _, (norm,) = _per_column(df, columns, "l2")
+    scale = 1 / np.where(norm == 0, 1.0, norm)
 
-        def cosine(i: int, j: int) -> Column:
-            norms = F.sqrt(F.col(f"d_{i}_{i}")) * F.sqrt(F.col(f"d_{j}_{j}"))
-            return F.when(norms > 0, F.col(f"d_{i}_{j}") / norms)
+    def cosines(rows: np.ndarray, begin: int, end: int) -> np.ndarray:
+        return _products(rows, begin, end) * scale[begin:end, None] * scale[begin:]
 
-        entries = _pair_rows(one_row, len(columns), cosine)
-        return entries.filter((F.col("i") < F.col("j")) & F.col("value").isNotNull())
-    if not _has_rows(df, columns):
-        return _no_entries(df)
-    dots = mllib_rows(df, columns).computeGramianMatrix().toArray()
-    norms = np.sqrt(np.diag(dots))
-    scale = np.outer(norms, norms)
-    values = np.divide(dots, scale, out=np.full_like(dots, np.nan), where=scale > 0)
-    entries = matrix_entries(df, values, ("i", "j"))
-    return entries.filter((F.col("i") < F.col("j")) & ~F.isnan("value"))
+    return upper_entries(_rows(df, columns), len(norm), cosines, norm == 0).filter("i < j")
+
+
+#: A prime, and factors, of the coin that decides which products are sampled.
+COIN_PRIME = 2_147_483_647
+COIN_ROW, COIN_I, COIN_J, COIN_LAST = 48_271, 69_621, 40_692, 16_807
+
+
+def coins(row: np.ndarray, i: int, j: np.ndarray, seed: int) -> np.ndarray:
+    """Whole numbers below ``COIN_PRIME`` for each row and pair (i, j), the same in any engine.
+
+    ``row`` holds ids, reduced by the prime.
+    """
+    x = (row * COIN_ROW)[:, None] + (i * COIN_I + j * COIN_J + seed)[None, :]
+    x %= COIN_PRIME
+    return (x * x % COIN_PRIME * COIN_LAST + x) % COIN_PRIME
+
+
+def column_cosine_seeded(
+    df: DataFrame, columns: Columns, row_id: str, threshold: float, seed: int = 1
+) -> DataFrame:
+    """Cosines of column pairs ``i < j`` estimated from a sample of the products, by DIMSUM.
+
+    The product of a row's cells i and j counts with probability p(i) p(j), where
+    p(i) = min(1, sqrt(g) / norm(i)) and g = 10 ln(columns) / threshold, so frequent columns are
+    sampled and cosines from ``threshold`` on come out close to exact. Columns are first divided by their
+    largest magnitude, which changes no cosine and keeps the rate free of units. Whether a
+    product counts follows from (``row_id``, i, j, seed) alone: the result is the same for any partitioning. Rows
+    without an id count as id 0; estimates are not clipped.
+    """
+    if threshold <= 0:
+        raise ValueError("threshold must be positive")
+    _, (top, low, norm) = _per_column(df, columns, "max", "min", "l2")
+    width = len(norm)
+    peak = np.maximum(np.abs(top), np.abs(low))
+    peak = np.where(peak == 0, 1.0, peak)
+    size, root = norm / peak, float(np.sqrt(10 * np.log(max(width, 2)) / threshold))
+    rate = np.minimum(1.0, root / np.where(size == 0, 1.0, size))
+    divisor = np.minimum(root, np.where(size == 0, 1.0, size)) * peak
+
+    def sampled(rows: np.ndarray, begin: int, end: int) -> np.ndarray:
+        ids, x = rows[:, 0].astype(np.int64), rows[:, 1:] / divisor
+        found = np.zeros((end - begin, width - begin))
+        for i in range(begin, min(end, width - 1)):
+            j = np.arange(i + 1, width)
+            counts = coins(ids, i, j, seed) < rate[i] * rate[j] * COIN_PRIME
+            found[i - begin, i + 1 - begin :] = (x[:, i, None] * x[:, i + 1 :] * counts).sum(axis=0)
+        return found
+
+    # the id travels as the first cell: below the prime it is exact as a double
+    place = F.pmod(F.coalesce(F.col(row_id).cast("long"), F.lit(0)), F.lit(COIN_PRIME)).cast("double")
+    rows = complete_rows(df, columns).select(F.concat(F.array(place), feature_array(columns)).alias("x"))
+    return upper_entries(rows, width, sampled, norm == 0).filter("i < j")
 
 
 def column_cosine_sampled(

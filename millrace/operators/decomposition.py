@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 
 from millrace.operators.columns import (
     Columns,
+    blocks_of_rows,
     complete_rows,
     feature_array,
     matrix_entries,
@@ -70,7 +73,7 @@ class Decomposition:
 
 
 def svd(df: DataFrame, columns: Columns, k: int, rcond: float = 1e-7) -> Decomposition:
-    """The ``k`` largest singular values with their right vectors.
+    """The ``k`` largest singular values with their right vectors, at any width.
 
     MLlib takes square roots of Gramian eigenvalues, so values below about 1e-8 of the
     largest are noise; ``rcond`` drops them. Signs follow :func:`principal_components`.
@@ -81,6 +84,47 @@ def svd(df: DataFrame, columns: Columns, k: int, rcond: float = 1e-7) -> Decompo
     return Decomposition(found.s.toArray(), right * _sign(right))
 
 
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The R of a task's rows: each block of rows is put under the R so far and reduced again."""
+    r = None
+    for x in blocks_of_rows(batches):
+        r = np.linalg.qr(x if r is None else np.vstack([r, x]), mode="r")
+    if r is not None:
+        offsets = pa.array(np.arange(len(r) + 1) * r.shape[1], pa.int32())
+        yield pa.RecordBatch.from_pydict({"x": pa.ListArray.from_arrays(offsets, pa.array(r.ravel()))})
+
+
+def triangular_factor(df: DataFrame, columns: Columns) -> np.ndarray:
+    """R of the QR decomposition of the complete rows: at most (columns x columns) numbers.
+
+    Tasks reduce their rows to an R each; these are stacked by ``spark.sql.shuffle.partitions``
+    tasks and then by sixteenths of them, until one is left.
+    """
+    factors = complete_rows(df, columns).select(feature_array(columns).alias("x")).mapInArrow(_folded, "x array<double>")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    while True:
+        tasks = max(1, tasks)
+        # all rows of a factor move together
+        factors = factors.repartitionById(tasks, F.spark_partition_id()).mapInArrow(_folded, "x array<double>")
+        if tasks == 1:
+            break
+        tasks = tasks // 16
+    return np.array([row.x for row in factors.collect()])
+
+
+def svd_tall(df: DataFrame, columns: Columns, k: int, rcond: float = 1e-14) -> Decomposition:
+    """:func:`svd` through QR: singular values far below 1e-8 of the largest keep their digits.
+
+    The matrix is never multiplied with itself, so values are exact to about 1e-16 of the largest; those
+    below ``rcond`` of it are dropped. The last R, columns x columns, is decomposed on the driver.
+    """
+    _check_rank(df, columns, k, "singular values")
+    _, sigma, right = np.linalg.svd(triangular_factor(df, columns), full_matrices=False)
+    kept = sigma[:k] > rcond * sigma[0]
+    vectors_ = right[:k][kept].T
+    return Decomposition(sigma[:k][kept], vectors_ * _sign(vectors_))
+
+
 def _projection(weights: np.ndarray):
     """Arrow-batched ``features -> features . weights``."""
 
@@ -145,13 +189,14 @@ def component_grid(matrix: DataFrame, height: int, width: int) -> DataFrame:
     height x width row ids once; the task that meets another one fails.
     """
     size = height * width
-    whole = W.partitionBy("component")
-    inside = F.col("row_id").between(0, size - 1)
-    complete = (F.count("*").over(whole) == size) & (F.size(F.collect_set("row_id").over(whole)) == size)
+    whole, ordered = W.partitionBy("component"), W.partitionBy("component").orderBy("row_id")
+    # as many rows as cells, and each the next one in order: none is missing, none stands twice
+    next_one = F.row_number().over(ordered) - 1 == F.col("row_id")
+    complete = F.coalesce(next_one, F.lit(False)) & (F.count("*").over(whole) == size)
     message = F.format_string(
         f"component %s does not fill a {height} x {width} grid", F.col("component").cast("string")
     )
-    row = F.when(inside & complete, F.col("row_id")).otherwise(F.raise_error(message).cast("long"))
+    row = F.when(complete, F.col("row_id")).otherwise(F.raise_error(message).cast("long"))
     return matrix.withColumn("row_id", row).select(
         "component",
         (F.col("component") + 1).alias("label"),

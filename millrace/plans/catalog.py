@@ -453,20 +453,45 @@ def column_cosine_threshold(spark, sf_dir):
     return rounded(columns.column_cosine_sampled(measures, MEASURES, 0.75), 9, "value")
 
 
+def _mixed_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The measures, and two columns about a middle value: cosines from about 0 to 1. Rows have ids."""
+    rows = relations.table(spark, sf_dir, "lineitem")
+    return rows.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"),
+        *MEASURES,
+        (F.col("l_quantity") - 25.5).alias("about_quantity"),
+        (F.col("l_discount") - 0.05).alias("about_discount"),
+    )
+
+
 @query
 def column_cosine_sampled(spark, sf_dir):
-    """Sampled cosines against exact ones: every pair above the threshold, values close to exact.
+    """Sampled cosines of six columns, of which some are orthogonal and some nearly alike.
 
-    The values vary with the partitioning, so the query reports which of the pairs that reach 0.5
-    are found within 0.25, at a sampling threshold of 0.1.
+    Which products are sampled follows from row ids, so SQL repeats the sample.
     """
-    measures = relations.measures(spark, sf_dir)
-    exact = columns.column_cosine(measures, MEASURES).withColumnRenamed("value", "exact")
-    sampled = columns.column_cosine_sampled(measures, MEASURES, 0.1, exact=False)
-    near = F.abs(F.col("value") - F.col("exact")) <= 0.25
-    return exact.filter("exact >= 0.5").join(sampled, ["i", "j"], "left").select(
-        "i", "j", F.coalesce(near, F.lit(False)).alias("found_near")
-    )
+    rows = _mixed_measures(spark, sf_dir)
+    return rounded(columns.column_cosine_seeded(rows, rows.columns[1:], "row_id", 0.1, seed=3), 9, "value")
+
+
+@query
+def gramian_blocks(spark, sf_dir):
+    """The Gramian of 8,192 columns made from pairs of embedding entries; a fixed set of its entries.
+
+    Column 64 k + c is entry c times entry c + k for k below 64, and their difference from there on.
+    All entries are computed; the query shows every pair of columns that are multiples of 509.
+    """
+    rows = relations.embeddings(spark, sf_dir)
+
+    def cell(at: Column) -> Column:
+        first = F.get("features", at % 64)
+        second = F.get("features", (at % 64 + F.floor(at / 64).cast("int")) % 64)
+        return F.when(at < 4096, first * second).otherwise(first - second)
+
+    cells = F.transform(F.sequence(F.lit(0), F.lit(8191)), cell)
+    wide = rows.repartition("row_id").select(cells.alias("features"))
+    found = columns.gramian(wide, "features")
+    return rounded(found.filter("i % 509 = 0 and j % 509 = 0"), 9, "value")
 
 
 # --- decompositions ------------------------------------------------------------------------
@@ -512,6 +537,17 @@ def svd(spark, sf_dir):
     return rounded(both, 6, "value", "sigma")
 
 
+@query
+def svd_small_values(spark, sf_dir):
+    """Two columns that differ by a ten-billionth of a third: the second singular value shows it.
+
+    Leading digits and magnitude of both values; those of the smaller one are lost in a Gramian.
+    """
+    pair = _scaled_pair(spark, sf_dir).select("x", (F.col("x") + 1e-10 * F.col("y")).alias("z"))
+    spectrum = decomposition.svd_tall(pair, ["x", "z"], 2).spectrum(pair)
+    return significant(spectrum, 4, "sigma")
+
+
 def _scaled_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four measures, brought to similar size."""
     scales = {"l_quantity": 50, "l_extendedprice": 100_000, "l_discount": 0.1, "l_tax": 0.08}

@@ -64,11 +64,11 @@ def _pairs(cell: str, keep=lambda i, j: True) -> str:
     )
 
 
-def _significant(name: str) -> str:
-    """Nine significant digits and the magnitude of a column."""
+def _significant(name: str, digits: int = 9) -> str:
+    """Significant digits and the magnitude of a column."""
     power = f"floor(log10(abs({name})))"
     return (
-        f"CASE WHEN {name} = 0 THEN 0.0 ELSE round({name} / pow(10.0, {power} - 8), 0) END AS {name}, "
+        f"CASE WHEN {name} = 0 THEN 0.0 ELSE round({name} / pow(10.0, {power} - {digits - 1}), 0) END AS {name}, "
         f"CASE WHEN {name} = 0 THEN 0 ELSE {power} END::BIGINT AS {name}_magnitude"
     )
 
@@ -246,8 +246,29 @@ SQL["covariance_wide"] = f"""WITH {EMB} SELECT a.i::BIGINT AS i, b.i::BIGINT AS
 _COSINE = _pairs("sum({a} * {b}) / sqrt(sum({a} * {a}) * sum({b} * {b}))", lambda i, j: i < j)
 SQL["column_cosine"] = f"WITH c AS ({_COSINE}) SELECT i, j, {_rounded('value', 9)} FROM c"
 SQL["column_cosine_threshold"] = SQL["column_cosine"] + " WHERE value >= 0.75"
-SQL["column_cosine_sampled"] = f"""WITH c AS ({_COSINE})
-SELECT i, j, TRUE AS found_near FROM c WHERE value >= 0.5"""
+# the coin of a product is an arithmetic hash of row id, i, j and seed 3; 6 columns, threshold 0.1
+SQL["column_cosine_sampled"] = """WITH wide AS (
+  SELECT l_orderkey * 8 + l_linenumber AS row_id, row_number() OVER () AS n, l_quantity, l_extendedprice, l_discount, l_tax,
+    l_quantity - 25.5 AS about_quantity, l_discount - 0.05 AS about_discount FROM lineitem),
+cells AS (SELECT n, row_id % 2147483647 AS r, unnest(range(6)) AS i, unnest([l_quantity, l_extendedprice,
+    l_discount, l_tax, about_quantity, about_discount]::DOUBLE[]) AS x FROM wide),
+peaks AS (SELECT i, max(abs(x)) AS peak, sqrt(sum(x * x)) / max(abs(x)) AS size FROM cells GROUP BY i),
+rates AS (SELECT i, least(1, sqrt(10 * ln(6) / 0.1) / size) AS rate,
+    least(sqrt(10 * ln(6) / 0.1), size) * peak AS divisor FROM peaks),
+scaled AS (SELECT n, r, c.i, x / divisor AS x, rate FROM cells c JOIN rates s ON c.i = s.i),
+tossed AS (SELECT a.i AS i, b.i AS j, a.x * b.x AS product, a.rate * b.rate * 2147483647 AS bound,
+    (a.r * 48271 + a.i * 69621 + b.i * 40692 + 3) % 2147483647 AS h
+  FROM scaled a JOIN scaled b ON a.n = b.n AND a.i < b.i),
+coins AS (SELECT i, j, product, bound, (((h * h) % 2147483647) * 16807 + h) % 2147483647 AS coin FROM tossed)
+SELECT i::BIGINT AS i, j::BIGINT AS j,
+  round(sum(CASE WHEN coin < bound THEN product ELSE 0 END), 9) + 0.0 AS value FROM coins GROUP BY i, j"""
+SQL["gramian_blocks"] = """WITH chosen AS (
+  SELECT vec_id, c, embedding[c % 64 + 1]::DOUBLE AS a,
+    embedding[(c % 64 + c // 64) % 64 + 1]::DOUBLE AS b
+  FROM embeddings, (SELECT 509 * k AS c FROM range(17) t(k)) WHERE c < 8192),
+cells AS (SELECT vec_id, c, CASE WHEN c < 4096 THEN a * b ELSE a - b END AS x FROM chosen)
+SELECT p.c::BIGINT AS i, q.c::BIGINT AS j, round(sum(p.x * q.x), 9) + 0.0 AS value
+FROM cells p JOIN cells q ON p.vec_id = q.vec_id GROUP BY p.c, q.c"""
 SQL["column_cosine_wide"] = f"""WITH {EMB} SELECT a.i::BIGINT AS i, b.i::BIGINT AS j,
   round(sum(a.x * b.x) / sqrt(sum(a.x * a.x) * sum(b.x * b.x)), 9) + 0.0 AS value
 {_WIDE} WHERE a.i < b.i GROUP BY a.i, b.i"""
@@ -273,6 +294,13 @@ SQL["svd"] = f"""WITH {_PAIR},
 m AS (SELECT sum(x * x) AS a, sum(x * y) AS b, sum(y * y) AS c FROM pair), {_EIGEN}
 SELECT i::BIGINT AS i, component::BIGINT AS component, {_rounded("value", 6)},
   round(sqrt(l), 6) + 0.0 AS sigma FROM entries"""
+# with z = x + d y the two values have the product d sqrt(xx yy - xy xy)
+SQL["svd_small_values"] = f"""WITH {_PAIR},
+m AS (SELECT sum(x * x) AS xx, sum(x * y) AS xy, sum(y * y) AS yy,
+    sum((x + 1e-10 * y) * (x + 1e-10 * y)) AS zz FROM pair),
+v AS (SELECT 0 AS k, sqrt(xx + zz) AS sigma FROM m
+  UNION ALL SELECT 1, 1e-10 * sqrt(xx * yy - xy * xy) / sqrt(xx + zz) FROM m)
+SELECT k::BIGINT AS k, {_significant("sigma", 4)} FROM v"""
 # a wrong vector leaves a residual, a repeated or scaled one a wrong length or order
 SQL["principal_components_measures"] = """SELECT i::BIGINT AS i, c::BIGINT AS component,
   0.0::DOUBLE AS residual, 1.0::DOUBLE AS length, TRUE AS falling

@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ def narrow(spark):
 
 @pytest.fixture(scope="module")
 def wide(narrow):
-    """The same matrix as one array column, which takes the MLlib path."""
+    """The same matrix as one array column."""
     return columns.row_matrix(narrow, NAMES)
 
 
@@ -43,6 +44,7 @@ def vector_test(spark, *observed):
 
 
 def test_vector_goldens(spark):
+    # fixed values: published statistics and p-values of two observed vectors
     r = vector_test(spark, 1, 7, 2, 3, 18)
     assert r.statistic == pytest.approx(31.41935483870968, rel=1e-12)
     assert r.p_value == pytest.approx(2.513864414122673e-6, rel=1e-9)
@@ -187,6 +189,7 @@ def test_first_component(matrix):
 
 
 def test_svd(matrix):
+    # fixed values: singular values and the first right vector of the matrix above
     df, cols = matrix
     found = decomposition.svd(df, cols, 4)
     assert list(found.sigma) == pytest.approx([13.011193721236575, 0.8419251442105343], rel=1e-9)
@@ -271,6 +274,107 @@ def test_bad_matrix_is_rejected(spark, tmp_path, text):
 BUILDS = [columns.column_summary, columns.gramian, columns.column_dot, columns.covariance, columns.column_cosine]
 
 
+@pytest.mark.parametrize("width", [16, 17, 64])
+@pytest.mark.parametrize("build", BUILDS)
+def test_not_a_number_means_the_same_at_every_width(spark, build, width):
+    """Against NumPy, where rows with nulls are left out and one column is zero, one has a NaN."""
+    rng = np.random.default_rng(width)
+    x = rng.normal(size=(40, width)) * 3 + 1
+    x[5, 2], x[:, 4] = np.nan, 0.0
+    holed = x.tolist()
+    holed[7][0] = None
+    names = [f"c{i}" for i in range(width)]
+    df = spark.createDataFrame(holed, ", ".join(f"{n} double" for n in names)).repartition(3)
+    arrays = df.select(F.array(*names).alias("f"))
+    x = np.delete(x, 7, axis=0)
+    dots, cov = x.T @ x, np.cov(x.T)
+    norm = np.sqrt(np.diag(dots))
+    for frame, cols in ((df, names), (arrays, "f")):
+        got = {r[0] if build is columns.column_summary else r[:2]: r for r in rows(build(frame, cols))}
+        if build is columns.column_summary:
+            want = {
+                i: (i, 39, np.count_nonzero(c), c.max(), np.fmin.reduce(c), c.mean(), c.var(ddof=1), np.abs(c).sum(), norm[i])
+                for i, c in enumerate(x.T)
+            }
+        else:
+            values = {columns.covariance: cov, columns.column_cosine: dots / np.where(norm, norm, 1) / np.where(norm, norm, 1)[:, None]}.get(build, dots)
+            keep = {columns.column_dot: lambda i, j: i <= j, columns.column_cosine: lambda i, j: i < j and 4 not in (i, j)}
+            chosen = keep.get(build, lambda i, j: True)
+            want = {(i, j): (i, j, values[i, j]) for i in range(width) for j in range(width) if chosen(i, j)}
+        assert got.keys() == want.keys()
+        for key in want:
+            assert got[key] == pytest.approx(want[key], rel=1e-9, abs=1e-9, nan_ok=True), key
+
+
+@pytest.mark.parametrize("build", [columns.gramian, columns.covariance, columns.column_cosine])
+def test_ranges_and_strips_change_nothing(spark, monkeypatch, build):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(v.tolist(),) for v in rng.normal(size=(50, 70))], "f array<double>").repartition(4)
+    whole = cells(build(df, "f"))
+    monkeypatch.setattr(columns, "HELD_ENTRIES", 400)
+    monkeypatch.setattr(columns, "STRIP", 5)
+    monkeypatch.setattr(columns, "_BATCH_ROWS", 7)
+    assert cells(build(df, "f")) == pytest.approx(whole, rel=1e-10, abs=1e-12)
+
+
+def test_rows_of_different_lengths_raise(spark):
+    df = spark.createDataFrame([([1.0, 2.0],), ([1.0],)], "f array<double>").coalesce(1)
+    with pytest.raises(Exception, match="cells in one matrix"):
+        columns.column_summary(df, "f").collect()
+
+
+def test_seeded_cosines(spark):
+    """The same for any partitioning, near the exact ones, of both signs and near zero, and exact below the rate 1."""
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(4000, 1))
+    x = np.hstack([base, base + 0.2 * rng.normal(size=(4000, 1)), -base + rng.normal(size=(4000, 1)), rng.normal(size=(4000, 2)), np.zeros((4000, 1))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "row_id long, f array<double>")
+    found = cells(columns.column_cosine_seeded(df, "f", "row_id", 0.2, seed=5))
+    again = cells(columns.column_cosine_seeded(df.repartition(7), "f", "row_id", 0.2, seed=5))
+    assert again == pytest.approx(found, rel=1e-9, abs=1e-12)
+    exact = cells(columns.column_cosine(df, "f"))
+    assert found.keys() == exact.keys() and len(found) == 10
+    # p(i) p(j) n is about gamma / (mean square)^2 of a column over its peak: some 1,000 products
+    assert all(abs(found[k] - exact[k]) < 0.2 for k in exact)
+    assert any(found[k] != exact[k] for k in exact)
+    assert exact[0, 1] > 0.9 and exact[0, 2] < -0.5
+    other = cells(columns.column_cosine_seeded(df, "f", "row_id", 0.2, seed=6))
+    assert other != found
+    few = df.limit(30)
+    assert cells(columns.column_cosine_seeded(few, "f", "row_id", 0.2)) == pytest.approx(
+        cells(columns.column_cosine(few, "f")), rel=1e-9
+    )
+    with pytest.raises(ValueError):
+        columns.column_cosine_seeded(df, "f", "row_id", 0.0)
+
+
+def test_coins_are_even():
+    drawn = columns.coins(np.arange(100_000), 3, np.array([5, 9]), 1) / columns.COIN_PRIME
+    for coin in drawn.T:
+        assert np.histogram(coin, 20, (0, 1))[0].min() > 4700
+    assert abs(np.corrcoef(drawn.T)[0, 1]) < 0.02
+
+
+def test_small_singular_values_keep_their_digits(spark):
+    rng = np.random.default_rng(12)
+    sigma = np.array([3.0, 1.0, 1e-6, 1e-10])
+    u = np.linalg.qr(rng.normal(size=(3000, 4)))[0]
+    v = np.linalg.qr(rng.normal(size=(4, 4)))[0]
+    a = u * sigma @ v.T
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(a)], "row_id long, f array<double>").repartition(6)
+    found = decomposition.svd_tall(df, "f", 4)
+    assert list(found.sigma) == pytest.approx(sigma, rel=1e-4)
+    left = {r.row_id: r.left for r in decomposition.svd_left(df, "row_id", "f", found).collect()}
+    left = np.array([left[i] for i in range(3000)])
+    assert np.abs(a @ found.right - left * found.sigma).max() < 1e-12 * sigma[0]
+    assert np.abs(left.T @ left - np.eye(4)).max() < 1e-4
+    assert len(decomposition.svd(df, "f", 4).sigma) == 3  # squared, the last one is lost
+    fewer = decomposition.svd_tall(df.limit(3), "f", 4)
+    assert len(fewer.sigma) <= 3
+    with pytest.raises(ValueError):
+        decomposition.svd_tall(df, "f", 5)
+
+
 @pytest.mark.parametrize("width", [16, 17])
 @pytest.mark.parametrize("build", BUILDS)
 def test_incomplete_rows_are_left_out_whole(spark, build, width):
@@ -315,13 +419,6 @@ def test_exact_cosine_is_the_default_for_arrays(narrow, wide):
     assert cells(columns.column_cosine_sampled(wide, "features", 0.0)) == pytest.approx(exact, rel=1e-12)
 
 
-def test_too_wide_matrix_raises(spark, monkeypatch):
-    monkeypatch.setattr(columns, "MAX_WIDTH", 20)
-    df = spark.createDataFrame([([1.0] * 21,)], "f array<double>")
-    with pytest.raises(ValueError, match="21 columns"):
-        columns.gramian(df, "f")
-
-
 def test_null_is_no_category(spark):
     data = [("g", "a"), ("g", "b"), ("g", None), ("h", None)]
     tests = chisquare.chisq_gof(spark.createDataFrame(data, "g string, c string"), ["g"], "c")
