@@ -14,8 +14,10 @@ Shared by the substring operators: symbols are words or bytes, a window is ``wid
    sorted exactly, by refining buckets of equal grams with the bucket numbers of later offsets.
    Where only earlier ids count, the spans found join back to the equal ones of the first id.
 4. A gram with many different surroundings (a passage that very many texts share) would fill
-   one task. Its strings go through the same steps with longer grams, the last as long as
-   the window, where equal windows simply share a key.
+   one task. Each of its strings is cut into a few runs of windows by where the gram stands in
+   them: a run shares not only the gram but most of what must surround it, and that longer gram is its
+   key. Runs go through the same steps as packed strings, not window by window; what a window has
+   beyond its key shrinks to an eighth each time, so three rounds end with keys as long as the window.
 
 Every step is a shuffle of short rows, or a scan; no task holds more than one bucket, and a
 lost task is computed again from the texts or from rows in the shared folder.
@@ -43,6 +45,8 @@ TEXT_BLOCK = 1 << 19
 BUCKET_BYTES = 1 << 20
 #: Windows of a super-window in periodic text, in widths; others are shorter than one width.
 LONGEST_RUN = 8
+#: Runs that the windows around a frequent gram are cut into.
+WAYS = 8
 
 _BASE = 0x9E3779B97F4A7C15
 _PLACE = np.uint64((1 << 24) - 1)
@@ -79,6 +83,24 @@ class SuperWindows:
         self.width, self.gram = width, gram
         self._powers = self._inverse = np.zeros(0, np.uint64)
 
+    def _prepare(self, n: int) -> None:
+        if len(self._powers) < n + 1:
+            self._powers = _powers(_BASE, n + 1)
+            self._inverse = _powers(pow(_BASE, -1, 1 << 64), n + 1)
+
+    def _prefix(self, hashes: np.ndarray) -> np.ndarray:
+        prefix = np.zeros(len(hashes) + 1, np.uint64)
+        np.cumsum(hashes * self._powers[: len(hashes)], out=prefix[1:])
+        return prefix
+
+    def _least(self, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The hash of every gram, and for every window the place of its least one."""
+        n = len(prefix) - 1
+        grams = mix((prefix[self.gram :] - prefix[: -self.gram]) * self._inverse[: n + 1 - self.gram])
+        place = np.arange(len(grams), dtype=np.uint64)
+        least = sliding_min((grams & ~_PLACE) | place, self.width - self.gram + 1)
+        return grams, (least & _PLACE).astype(np.int64)
+
     def find(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         """Per super-window: row, first window in the array, number of windows, gram hash,
         content hash, and whether its windows take the gram from several places.
@@ -90,17 +112,11 @@ class SuperWindows:
         sizes = np.maximum(ends - starts - width + 1, 0)
         if not sizes.sum():
             return [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, bool)]
-        if len(self._powers) < n + 1:
-            self._powers = _powers(_BASE, n + 1)
-            self._inverse = _powers(pow(_BASE, -1, 1 << 64), n + 1)
-        prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(hashes * self._powers[:n], out=prefix[1:])
-        grams = mix((prefix[gram:] - prefix[:-gram]) * self._inverse[: n + 1 - gram])
-        place = np.arange(len(grams), dtype=np.uint64)
-        least = sliding_min((grams & ~_PLACE) | place, width - gram + 1)
+        self._prepare(n)
+        grams, least = self._least(self._prefix(hashes))
         row = np.repeat(np.arange(len(sizes)), sizes)
         window = np.arange(len(row)) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
-        at = (least[window] & _PLACE).astype(np.int64)
+        at = least[window]
         kept = grams[at]
         new = np.r_[True, (kept[1:] != kept[:-1]) | (row[1:] != row[:-1])]
         place = np.arange(len(row))
@@ -108,10 +124,39 @@ class SuperWindows:
         first = np.flatnonzero(since % (LONGEST_RUN * width) == 0)
         count = np.diff(np.r_[first, len(row)])
         begin = window[first]
-        content = (prefix[begin + count - 1 + width] - prefix[begin]) * self._inverse[begin]
+        # over hashes of grams, not of symbols: a sum of powers alone has known long collisions
+        whole = self._prefix(grams)
+        content = (whole[begin + count + width - gram] - whole[begin]) * self._inverse[begin]
         several = at[first] != at[first + count - 1]
         return row[first], begin, count, kept[first], mix(content, 0xA5A5), several
 
+    def cut(self, hashes: np.ndarray, place: int, length: int) -> tuple[np.ndarray, ...]:
+        """Runs of windows of one string: first window, number, their common gram's place and
+        length, its hash, and that of the run's content.
+
+        All windows of the string hold the gram of ``length`` at ``place``; with length 0 each
+        holds its minimiser. A window that has a symbols in front of the gram falls in part
+        a // step, and all windows of a part agree on how far they reach to both sides at least.
+        """
+        width, windows = self.width, len(hashes) - self.width + 1
+        self._prepare(len(hashes))
+        prefix = self._prefix(hashes)
+        if length:
+            at = np.full(windows, place)
+        else:
+            at, length = self._least(prefix)[1], self.gram
+        missing = width - length
+        step = max(1, -(-missing // WAYS))
+        part = (at - np.arange(windows)) // step
+        first = np.flatnonzero(np.r_[True, (np.diff(part) != 0) | (np.diff(at) != 0)])
+        count = np.diff(np.r_[first, windows])
+        left = part[first] * step
+        longer = length + left + missing - np.minimum(missing, left + step - 1)
+        begin = at[first] - left
+        key = (prefix[begin + longer] - prefix[begin]) * self._inverse[begin]
+        content = (prefix[first + count - 1 + width] - prefix[first]) * self._inverse[first]
+        return first, count, begin, longer, mix(mix(key) + longer.astype(np.uint64)), mix(content + count.astype(np.uint64), 0xA5A5)
+
 
 def byte_hashes(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     table = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
@@ -140,7 +185,7 @@ class Kind:
 
     symbols: str  # "words" or "bytes"
     width: int
-    grams: tuple[int, ...]
+    gram: int
     #: Whether a window is repeated if it occurs in a row with a smaller id, or anywhere else.
     earlier: bool
     #: Different super-windows around one gram that one bucket takes.
@@ -268,8 +313,10 @@ def repeated_runs(kind: Kind, rows: list[bytes], docs: np.ndarray):
 TEXT = "doc long, key long, base long, text binary"
 #: Repeated windows: ``base`` is that of the text, or where the packed string starts.
 SPAN = "doc long, key long, base long, start long, n long"
-OCCURRENCE = f"{TEXT.removesuffix(', text binary')}, at long, n long, m long, s long, several boolean"
-PACKED = "m long, doc long, key long, start long, hot boolean, text binary"
+#: ``place`` and ``length``: where in the text the gram stands that a run's windows share, if all
+#: windows have it there.
+OCCURRENCE = f"{TEXT.removesuffix(', text binary')}, at long, n long, m long, s long, several boolean, place long, length long"
+PACKED = "m long, doc long, key long, start long, hot boolean, place long, length long, text binary"
 
 
 def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -296,11 +343,11 @@ def _segments(sizes: np.ndarray, width: int):
             yield np.array([row]), np.array([part]), np.array([min(end, part + SEGMENT + width - 1)])
 
 
-def occurrences(texts: DataFrame, kind: Kind, gram: int) -> DataFrame:
+def occurrences(texts: DataFrame, kind: Kind) -> DataFrame:
     """A row for each super-window of each text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder, hasher = SuperWindows(kind.width, gram), kind.hasher()
+        finder, hasher = SuperWindows(kind.width, kind.gram), kind.hasher()
         for batch in batches:
             doc, key, base = (_column(batch, c) for c in ("doc", "key", "base"))
             for begin, rows in blocks(_bytes(batch, "text"), TEXT_BLOCK):
@@ -313,15 +360,35 @@ def occurrences(texts: DataFrame, kind: Kind, gram: int) -> DataFrame:
                     yield _batch(
                         doc=doc[own], key=key[own], base=base[own],
                         at=at + low - starts[which[row]], n=n, m=m.view(np.int64), s=s.view(np.int64), several=several,
+                        place=np.zeros(len(n), np.int64), length=np.zeros(len(n), np.int64),
                     )
 
     return texts.select("doc", "key", "base", "text").mapInArrow(scan, OCCURRENCE)
 
 
+def runs(strings: DataFrame, kind: Kind) -> DataFrame:
+    """A row for each part of each string of a hot gram; the key is a longer gram."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder, hasher = SuperWindows(kind.width, kind.gram), kind.hasher()
+        for batch in batches:
+            ids = [_column(batch, c) for c in ("doc", "key", "base", "place", "length")]
+            found: list[list[np.ndarray]] = []
+            for text, doc, key, base, place, length in zip(_bytes(batch, "text"), *ids, strict=True):
+                at, n, begin, longer, m, s = finder.cut(hasher([text])[0], place, length)
+                own = [np.full(len(at), x) for x in (doc, key, base)]
+                found.append([*own, at, n, m.view(np.int64), s.view(np.int64), np.zeros(len(at), bool), begin, longer])
+            if found:
+                names = ("doc", "key", "base", "at", "n", "m", "s", "several", "place", "length")
+                yield _batch(**dict(zip(names, map(np.concatenate, zip(*found, strict=True)), strict=True)))
+
+    return strings.select("doc", "key", "base", "place", "length", "text").mapInArrow(scan, OCCURRENCE)
+
+
 def _packed(texts: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
     """The strings of wanted super-windows, cut from their texts."""
     places = wanted.groupBy("doc", "key", "base").agg(
-        F.collect_set(F.struct("at", "n", "m", "hot")).alias("places")
+        F.collect_set(F.struct("at", "n", "m", "hot", "place", "length")).alias("places")
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,6 +409,8 @@ def _packed(texts: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
                     "key": pa.array([key] * size, pa.int64()),
                     "start": pa.array([base + p["at"] for p in places], pa.int64()),
                     "hot": pa.array([p["hot"] for p in places], pa.bool_()),
+                    "place": pa.array([p["place"] - p["at"] for p in places], pa.int64()),
+                    "length": pa.array([p["length"] for p in places], pa.int64()),
                     "text": pa.array(kind.cut(text, spans), pa.binary()),
                 })
 
@@ -375,21 +444,22 @@ def _sorted_buckets(packed: DataFrame, kind: Kind) -> DataFrame:
     return rows.repartition("m").sortWithinPartitions("m").mapInArrow(sort, SPAN)
 
 
-def _level(texts: DataFrame, kind: Kind, level: int) -> DataFrame:
-    """Spans of repeated windows in ``texts``; hot grams go on to the next level."""
+def _level(texts: DataFrame, kind: Kind, hot_strings: bool = False) -> DataFrame:
+    """Spans of repeated windows in ``texts``, or in the strings of hot grams; those of grams
+    that are still hot go through it again."""
     spark = texts.sparkSession
     # stored, as both the counts and the join below read them; the texts are scanned once
-    stored = store(occurrences(texts, kind, kind.grams[level]), "occurrences")
+    stored = store((runs if hot_strings else occurrences)(texts, kind), "occurrences")
     found = spark.read.parquet(stored)
-    last = level + 1 == len(kind.grams)
-    if last:  # a gram is the window, so equal grams are all there is to count
-        count, mixed = F.sum("n"), F.lit(False)
-    else:  # a super-window with its gram in several places may repeat windows inside itself
-        inside = F.lit(False) if kind.earlier else (F.count("*") == 1) & F.max("several")
-        count, mixed = F.count("*"), (F.min("s") != F.max("s")) | inside
+    # a super-window with its gram in several places may repeat windows inside itself
+    inside = F.lit(False) if kind.earlier else (F.count("*") == 1) & F.max("several")
     grams = store(
         found.groupBy("m")
-        .agg(count.alias("c"), F.min("doc").alias("first"), mixed.alias("mixed"))
+        .agg(
+            F.count("*").alias("c"),
+            F.min("doc").alias("first"),
+            ((F.min("s") != F.max("s")) | inside).alias("mixed"),
+        )
         .filter("c > 1 or mixed"),
         "grams",
     )
@@ -399,8 +469,6 @@ def _level(texts: DataFrame, kind: Kind, level: int) -> DataFrame:
     repeated = F.col("doc") > F.col("first") if kind.earlier else F.lit(True)
     own = ["doc", "key", "base", (F.col("base") + F.col("at")).alias("start"), "n"]
     spans = met.filter(~F.col("mixed") & repeated).select(*own)
-    if last:
-        return spans
 
     mixed = met.filter("mixed").drop("c", "first", "mixed", "several")
     here = F.struct("doc", "key", "base", "at")
@@ -418,8 +486,8 @@ def _level(texts: DataFrame, kind: Kind, level: int) -> DataFrame:
     inside = _sorted_buckets(packed.filter(~F.col("hot")), kind)
     rest = packed.filter("hot")
     if not rest.isEmpty():
-        rest = rest.select("doc", "key", F.col("start").alias("base"), "text")
-        inside = inside.union(_level(rest, kind, level + 1))
+        rest = rest.select("doc", "key", F.col("start").alias("base"), "place", "length", "text")
+        inside = inside.union(_level(rest, kind, hot_strings=True))
     if not kind.earlier:  # one that occurs again is covered as a whole, so the others stand alone
         return spans.union(inside)
     # stored, so that the join below can be split
@@ -453,7 +521,7 @@ def repeated_windows(docs: DataFrame, kind: Kind) -> DataFrame:
         F.lit(0).cast("long").alias("base"),
         F.col("text").cast("binary").alias("text"),
     )
-    spans = _level(texts, kind, 0)
+    spans = _level(texts, kind)
     return spans.groupBy("doc", "key").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
 
 

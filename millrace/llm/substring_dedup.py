@@ -32,9 +32,8 @@ FIELDS = {
 
 
 def word_windows(width: int = 50, hot: int = 500) -> Kind:
-    """Minimisers of 8 words; for surroundings of frequent ones, of half and of all the window."""
-    grams = (max(1, min(8, width // 2)), max(1, width // 2), width)
-    return Kind("words", width, tuple(dict.fromkeys(grams)), earlier=True, hot=hot)
+    """Minimisers of 8 words."""
+    return Kind("words", width, max(1, min(8, width // 2)), earlier=True, hot=hot)
 
 
 def _kept_words(width: int, with_text: bool) -> Column:

@@ -34,9 +34,8 @@ FIELDS = {
 
 
 def byte_windows(width: int = 400, hot: int = 500) -> Kind:
-    """Minimisers of 64 bytes; for surroundings of frequent ones, of half and of all the string."""
-    grams = (max(1, min(64, width // 2)), max(1, width // 2), width)
-    return Kind("bytes", width, tuple(dict.fromkeys(grams)), earlier=False, hot=hot)
+    """Minimisers of 64 bytes."""
+    return Kind("bytes", width, max(1, min(64, width // 2)), earlier=False, hot=hot)
 
 
 def _kept_bytes(width: int, with_text: bool) -> Column:

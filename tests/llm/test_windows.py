@@ -201,3 +201,43 @@ def test_lines_keep_the_other_columns(wide):
     rows = out.collect()
     assert len(rows) == wide.count() and all(r[n] == "own" for r in rows for n in CLASHING)
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in rows)
+
+
+def shared_rows(n):
+    """A passage in ``n`` texts with different surroundings, periodic texts, null ids, repeated rows."""
+    rng = np.random.default_rng(13)
+
+    def some(k):
+        return [f"w{x}" for x in rng.integers(0, 900, k)]
+
+    passage = some(160)
+    rows = [(i, " ".join([*some(12 + i % 7), *passage[i % 5 :], *some(9)])) for i in range(n)]
+    rows += [(None if i % 3 else 5000 + i, " ".join([*some(3), *["ab"] * (30 + i), *some(4)])) for i in range(n // 3)]
+    return rows + [rows[0], (None, rows[1][1]), (9000, "x " * 700), (9001, "- " * 200 + "end")]
+
+
+@pytest.mark.parametrize("hot", [500, 20, 1])
+def test_a_passage_that_many_texts_share(spark, hot):
+    rows = shared_rows(90)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(substring_dedup.remove_repeated_words(df, 50, hot).drop("kept")) == words_left(rows, 50)
+    assert found(suffix_dedup.remove_repeated_bytes(df, 100, hot).drop("kept")) == bytes_left(rows, 100)
+
+
+def test_rows_of_hot_grams_grow_with_the_texts(spark, monkeypatch):
+    made, cut = [], repeats.runs
+
+    def watched(strings, kind):
+        rows = cut(strings, kind)
+        made[-1].append((strings.count(), rows.count()))
+        return rows
+
+    monkeypatch.setattr(repeats, "runs", watched)
+    for n in (100, 200):
+        made.append([])
+        plain = [r for r in shared_rows(n) if r[0] is not None and r[0] < 5000]
+        df = spark.createDataFrame(plain, "doc_id long, text string").repartition(5)
+        suffix_dedup.remove_repeated_bytes(df, 400, 20).count()
+    small, large = ([sum(x) for x in zip(*m)] for m in made)
+    assert 0 < large[1] <= 10 * large[0]  # a few runs for each string, not one for each window
+    assert large[1] <= 2.5 * small[1]
