@@ -3,8 +3,8 @@
 Rows are assigned to order buckets by *value* (cut points are approximate quantiles of the
 order column), so a recomputed task makes the same assignment. Only the per-bucket counts
 are cumulated; ranking happens inside a bucket. The number of buckets follows
-``spark.sql.shuffle.partitions``. Rows whose order key is null come first, in a bucket of
-their own; NaN comes last.
+``spark.sql.shuffle.partitions``. Rows whose order key is null come first, NaN comes last; both
+are ordered, and dealt into as many buckets as the others, by a hash of the row.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 from millrace.storage import materialize
 
 _ID_BITS = 33  # monotonically_increasing_id: row number within the partition
-_NULL_BUCKET = -1
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -53,9 +52,14 @@ def order_cuts(df: DataFrame, order_by: str, buckets: int) -> list[float]:
     return sorted(set(keys.approxQuantile("_key", shares, 1 / (4 * buckets))))
 
 
-def with_order_bucket(df: DataFrame, order_by: str, cuts: list[float]) -> DataFrame:
-    """Add ``_bucket``: the index of the interval between cut points holding the row."""
+def with_order_bucket(df: DataFrame, order_by: str, cuts: list[float], tie: Column) -> DataFrame:
+    """Add ``_bucket``, from 0 in row order: the interval between cut points that holds the row.
+
+    Rows without a number fall in ranges of ``tie``, their hash: those without a key before all
+    intervals, NaN behind them.
+    """
     keyed = df.withColumn("_key", _order_key(df, order_by))
+    ranges = len(cuts) + 1
     if not cuts:
         bucket = F.lit(0)
     else:
@@ -63,10 +67,15 @@ def with_order_bucket(df: DataFrame, order_by: str, cuts: list[float]) -> DataFr
             splits=[-math.inf, *cuts, math.inf],
             inputCol="_key",
             outputCol="_bucket",
-            handleInvalid="keep",  # NaN goes behind the last interval
+            handleInvalid="keep",  # NaN is taken out below
         ).transform(keyed)
         bucket = F.col("_bucket").cast("int")
-    known = F.when(F.col("_key").isNull(), _NULL_BUCKET).otherwise(bucket)
+    by_hash = F.floor((F.shiftright(tie, 32) + 2**31) * ranges / 2**32).cast("int")
+    known = (
+        F.when(F.col("_key").isNull(), by_hash)
+        .when(F.isnan("_key"), by_hash + 2 * ranges)
+        .otherwise(bucket + ranges)
+    )
     return keyed.withColumn("_bucket", known).drop("_key")
 
 
@@ -105,7 +114,7 @@ def running_counts(
     hits = {n: F.when(c, 1).otherwise(0).cast("long") for n, c in conditions.items()}
     cuts = order_cuts(df, order_by, buckets or default_buckets(df))
     order = _row_order(df, order_by)
-    bucketed = with_order_bucket(df.withColumns(hits), order_by, cuts)
+    bucketed = with_order_bucket(df.withColumns(hits), order_by, cuts, order[1])
     so_far = W.partitionBy("_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     counted = bucketed.join(_bucket_offsets(bucketed, names), "_bucket").withColumns(
         {n: F.col(f"_before_{n}") + F.sum(n).over(so_far) for n in names}
@@ -115,6 +124,80 @@ def running_counts(
     return counted.drop("_bucket", "_total", *[f"_before_{n}" for n in names])
 
 
+def segmented_scan(
+    df: DataFrame,
+    group: str,
+    order_by: str,
+    ordinal: str,
+    ranges: dict[str, tuple[int, int]],
+    buckets: int | None = None,
+    position: str | None = None,
+    total: str | None = None,
+) -> DataFrame:
+    """Ordinals within groups and running counts over all rows, from one shuffle of the rows.
+
+    Adds ``ordinal``, the 1-based number of the row within ``group``, and per name of ``ranges`` how
+    many rows up to and including this one have an ordinal in that range; ``position`` names the
+    0-based place of the row and ``total`` the number of all rows. ``order_by`` must be unique,
+    apart from nulls.
+
+    Rows meet by order bucket only, so neither a large group nor a large bucket of one group fills a
+    task. What earlier buckets hold of each group is a table of counts; it goes along as rows that stand
+    before the group's own. How many ordinals of a bucket fall into a range follows from the same
+    table, so running counts need no further pass. The input is read for the cut points, the counts and
+    the result; one that is expensive to compute should be stored first.
+    """
+    cuts = order_cuts(df, order_by, buckets or default_buckets(df))
+    key, tie = _row_order(df, order_by)
+    bucketed = with_order_bucket(df, order_by, cuts, tie).withColumn("_tie", tie)
+    earlier = W.partitionBy(group).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    counts = materialize(
+        bucketed.groupBy("_bucket", group)
+        .agg(F.count("*").alias("_rows"))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))),
+        "group-counts",
+    )
+    inside = {
+        name: F.greatest(
+            F.lit(0),
+            F.least(F.lit(last), F.col("_before") + F.col("_rows")) - F.greatest(F.lit(first - 1), F.col("_before")),
+        )
+        for name, (first, last) in ranges.items()
+    }
+    names = [*ranges, *([position] if position else [])]
+    if position:
+        inside[position] = F.col("_rows")
+    per_bucket = counts.groupBy("_bucket").agg(F.sum("_rows").alias("_size"), *[F.sum(c).alias(n) for n, c in inside.items()])
+    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    everything = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    offsets = per_bucket.select(  # a row for each bucket
+        "_bucket",
+        F.sum("_size").over(everything).alias("_total"),
+        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_before_{n}") for n in names],
+    )
+    went_before = counts.filter("_before > 0").select("_bucket", F.col(group), "_before")
+    together = bucketed.withColumn("_before", F.lit(None).cast("long")).unionByName(went_before, allowMissingColumns=True)
+    of_group = W.partitionBy("_bucket", group).orderBy(F.col("_before").desc_nulls_last(), key, "_tie")
+    so_far = W.partitionBy("_bucket").orderBy(key, "_tie").rowsBetween(W.unboundedPreceding, 0)
+    first = F.first("_before").over(of_group.rowsBetween(W.unboundedPreceding, 0))
+    number = F.row_number().over(of_group)
+    numbered = (
+        together.repartitionById(3 * (len(cuts) + 1), "_bucket")
+        .withColumn(ordinal, F.when(first.isNull(), number).otherwise(first + number - 1).cast("long"))
+        .filter(F.col("_before").isNull())
+    )
+    hits = {n: F.when(F.col(ordinal).between(*bounds), 1).otherwise(0).cast("long") for n, bounds in ranges.items()}
+    if position:
+        hits[position] = F.lit(1).cast("long")
+    scanned = numbered.join(F.broadcast(offsets), "_bucket")
+    counted = scanned.withColumns({n: F.col(f"_before_{n}") + F.sum(hits[n]).over(so_far) for n in names})
+    if position:
+        counted = counted.withColumn(position, F.col(position) - 1)
+    if total:
+        counted = counted.withColumn(total, F.col("_total"))
+    return counted.drop("_bucket", "_tie", "_before", "_total", *[f"_before_{n}" for n in names])
+
+
 def row_position(
     df: DataFrame,
     order_by: str,
@@ -179,7 +262,7 @@ def group_ordinal(
 
     large = df.join(keys, is_hot, "left_semi")
     cuts = order_cuts(large, order_by, 2 * -(-large_rows // hot_rows))
-    bucketed = with_order_bucket(large, order_by, cuts)
+    bucketed = with_order_bucket(large, order_by, cuts, order[1])
     earlier = W.partitionBy("_group").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy(F.col(group).alias("_group"), F.col("_bucket").alias("_at"))

@@ -14,10 +14,9 @@ from millrace.functions.fields import leading_number
 from millrace.functions.ordering import (
     group_ordinal,
     row_position,
-    running_counts,
+    segmented_scan,
     sorted_position,
 )
-from millrace.storage import materialize
 
 
 def user_ordinal(log: DataFrame, order_by: str = "pos", hot_rows: int = 1_000_000) -> DataFrame:
@@ -25,11 +24,6 @@ def user_ordinal(log: DataFrame, order_by: str = "pos", hot_rows: int = 1_000_00
     return group_ordinal(log, "userid", order_by, "ordinal", hot_rows)
 
 
-def _stored_ordinal(log: DataFrame, order_by: str) -> DataFrame:
-    """The log with ``ordinal``, computed once for the several passes of a running count."""
-    return materialize(user_ordinal(log, order_by), "ordinal")
-
-
 def in_range(start: int, stop: int) -> Column:
     return F.col("ordinal").between(start, stop)
 
@@ -38,8 +32,7 @@ def capped_running_count(
     log: DataFrame, start: int, stop: int, max_test: int, order_by: str = "pos"
 ) -> DataFrame:
     """Add ``held``: rows held out so far, which stops growing at ``max_test`` (if positive)."""
-    ranked = _stored_ordinal(log, order_by)
-    counted = running_counts(ranked, {"held": in_range(start, stop)}, order_by)
+    counted = segmented_scan(log, "userid", order_by, "ordinal", {"held": (start, stop)})
     return counted.withColumn("held", F.least("held", F.lit(max_test))) if max_test > 0 else counted
 
 
@@ -54,7 +47,7 @@ def route_rows(
     candidate = in_range(start, stop)
     if max_test <= 0:
         return user_ordinal(log, order_by).withColumn("held_out", candidate)
-    counted = running_counts(_stored_ordinal(log, order_by), {"_held": candidate}, order_by)
+    counted = segmented_scan(log, "userid", order_by, "ordinal", {"_held": (start, stop)})
     return counted.withColumn("held_out", candidate & (F.col("_held") <= max_test)).drop("_held")
 
 
@@ -103,18 +96,16 @@ def split_suite(
 ) -> DataFrame:
     """All splits as columns of one frame: ``fold`` and one boolean ``in_<name>`` per range.
 
-    Positions and capped counts come from the same shuffle by order bucket. Every test and
+    Ordinals, positions and capped counts come from one shuffle by order bucket. Every test and
     base set is a filter on these columns; nothing is copied per split.
     """
     ranges = ranges or {"ua": (1, 10), "ub": (11, 20)}
-    ranked = _stored_ordinal(log, order_by)
     candidates = {name: in_range(*bounds) for name, bounds in ranges.items()}
-    counts = {f"_{name}": candidate for name, candidate in candidates.items()}
-    if order_by != "pos":
-        counts["pos"] = F.lit(True)
-    counted = running_counts(ranked, counts, order_by, total="_rows")
-    if order_by != "pos":
-        counted = counted.withColumn("pos", F.col("pos") - 1)
+    counted = segmented_scan(
+        log, "userid", order_by, "ordinal",
+        {f"_{name}": bounds for name, bounds in ranges.items()},
+        position=None if order_by == "pos" else "pos", total="_rows",
+    )
     marks = {}
     for name, candidate in candidates.items():
         free = F.lit(max_test <= 0) | (F.col(f"_{name}") <= max_test)

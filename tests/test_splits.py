@@ -204,10 +204,53 @@ def test_all_order_keys_null(spark):
     assert sorted(r[0] for r in rows(ordering.row_position(df, "at").select("pos"))) == list(range(5))
 
 
-def test_capped_count_ranks_users_once(spark, log):
+def test_capped_count_shuffles_the_log_once(spark, log):
     for frame in (splits.capped_running_count(log, 1, 10, 50, "event_id"), splits.split_suite(log, order_by="event_id")):
-        plan = frame._jdf.queryExecution().optimizedPlan().toString()
-        assert "row_number" not in plan  # the stored ordinal is read, not computed again
+        plan = frame._jdf.queryExecution().toString()
+        plan = plan[plan.index("== Physical Plan ==") :]
+        # the small tables come from the shared folder; the ordinal and the counts share the exchange
+        moved = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+        assert sum("REPARTITION" in line for line in moved) == 1
+        assert sum("row_number()" in line and "Window [" in line for line in plan.splitlines()) == 1
+
+
+def odd_log(spark, kind):
+    """A third of the rows without an order key or with NaN, one user with most of the rest."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(900):
+        key = None if i % 3 == 0 and kind != "nan" else float("nan") if i % 3 == 0 else float(i)
+        rows.append((key, 7 if rng.random() < 0.6 else rng.randrange(20), i))
+    return spark.createDataFrame(rows, "at double, userid long, itemid long").repartition(5)
+
+
+@pytest.mark.parametrize("kind", ["null", "nan"])
+def test_rows_without_a_key_are_ordered_and_spread(spark, kind):
+    df = odd_log(spark, kind)
+    _, tie = ordering._row_order(df, "at")
+    ordered = [tuple(r) for r in df.withColumn("tie", tie).collect()]
+    first = kind == "null"
+    ordered.sort(key=lambda r: ((r[0] is not None, 0 if first and r[0] is None else (r[0] != r[0], r[0] if r[0] == r[0] else 0)), r[3])
+                 if first else ((r[0] != r[0], r[0] if r[0] == r[0] else 0), r[3]))
+    seen, held, want = {}, 0, {}
+    for pos, (_, user, item, _) in enumerate(ordered):
+        seen[user] = seen.get(user, 0) + 1
+        held += 3 <= seen[user] <= 12
+        want[item] = (seen[user], held, pos)
+    got = ordering.segmented_scan(df, "userid", "at", "ordinal", {"held": (3, 12)}, buckets=6, position="pos", total="n")
+    assert {r.itemid: (r.ordinal, r.held, r.pos) for r in got.collect()} == want
+    assert {r.n for r in got.collect()} == {900}
+    cuts = ordering.order_cuts(df, "at", 6)
+    sizes = [r[1] for r in rows(ordering.with_order_bucket(df, "at", cuts, tie).groupBy("_bucket").count())]
+    assert len(sizes) >= 10 and max(sizes) < 200
+
+
+def test_scan_of_null_users_and_of_nothing(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (3, None), (4, 5), (5, None)], "at long, userid long")
+    got = ordering.segmented_scan(df, "userid", "at", "ordinal", {"held": (2, 2)}, buckets=3)
+    assert rows(got.select("at", "ordinal", "held"), "at") == [(1, 1, 0), (2, 1, 0), (3, 2, 1), (4, 2, 2), (5, 3, 2)]
+    assert ordering.segmented_scan(df.limit(0), "userid", "at", "ordinal", {"held": (1, 2)}).count() == 0
+
 
 
 def test_empty_log(spark):
