@@ -74,3 +74,20 @@ def purchase_report(purchases: DataFrame) -> DataFrame:
             F.col("top_purchases"),
         ).alias("product_line"),
     )
+
+
+def user_sketches(purchases: DataFrame, by: str, precision: int = 12) -> DataFrame:
+    """``(by, sketch)``: a mergeable sketch of the users of each value of ``by``, of a few kilobytes.
+
+    Stored once, sketches answer :func:`sketched_users` for any union of them without reading a
+    purchase again. Null users do not count.
+    """
+    return purchases.groupBy(by).agg(F.hll_sketch_agg("user", precision).alias("sketch"))
+
+
+def sketched_users(sketches: DataFrame, *by: str) -> DataFrame:
+    """About how many different users the sketches of each group have seen; opt-in, not exact.
+
+    The relative standard error is about 0.83 / sqrt(2 ** precision): 1.3 % at 12.
+    """
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("users"))

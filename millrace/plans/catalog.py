@@ -24,9 +24,13 @@ from millrace.operators import (
 )
 from millrace.plans import itemcf, relations
 from millrace.sources import lines as text
-from millrace.sources import corpus, matrices, sinks
-from millrace.storage import new_path
-from millrace.streaming.purchases import windowed_purchase_summary
+from millrace.sources import corpus, document_files, matrices, sinks
+from millrace.storage import materialize, new_path
+from millrace.streaming.purchases import (
+    accumulate_windows,
+    current_windows,
+    windowed_purchase_summary,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -132,6 +136,17 @@ def purchase_report(spark, sf_dir):
     return purchases.purchase_report(relations.purchases(spark, sf_dir))
 
 
+@query
+def sketched_users(spark, sf_dir):
+    """Users per year from stored daily sketches, beside exact counts: within four standard errors."""
+    bought = relations.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user"), F.to_date("o_orderdate").alias("day"))
+    daily = materialize(purchases.user_sketches(bought, "day"), "sketches")
+    found = purchases.sketched_users(daily.withColumn("year", F.year("day")), "year")
+    exact = bought.groupBy(F.year("day").alias("year")).agg(F.countDistinct("user").alias("exact_users"))
+    near = F.abs(F.col("users") - F.col("exact_users")) <= 0.052 * F.col("exact_users")
+    return exact.join(found, "year").select("year", "exact_users", near.alias("near"))
+
+
 @query
 def windowed_purchases(spark, sf_dir):
     """Count and revenue per day and event type, over all events.
@@ -149,6 +164,43 @@ def windowed_purchases(spark, sf_dir):
     return rounded(days, 4, "revenue")
 
 
+def _streamed_events(spark: SparkSession, sf_dir: str) -> str:
+    """Stream all events by time, in three files, then a seventh of them again, in two runs.
+
+    Returns the folder with the stream's tables.
+    """
+    root = new_path(spark, "stream")
+    events = relations.table(spark, sf_dir, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("product"), F.col("value").alias("price")
+    )
+    third = F.ntile(3).over(W.orderBy("day")).alias("third")
+    days = events.select(F.to_date("ts").alias("day")).distinct().select("day", third)  # a row for each day
+    parted = events.join(days, F.to_date("ts") == F.col("day"))
+    for parts in ((1, 2), (3, None)):
+        for part in parts:
+            rows = parted.filter(F.col("third") == part) if part else events.filter("event_id % 7 = 0")
+            rows.select(events.columns).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        accumulate_windows(stream, f"{root}/out", f"{root}/state")
+    return f"{root}/out"
+
+
+@query
+def streaming_purchase_summary(spark, sf_dir):
+    """All windows of a stream, stored batch by batch and restarted from its checkpoint."""
+    days = current_windows(spark, _streamed_events(spark, sf_dir)).select(
+        F.date_format("window_start", "yyyy-MM-dd").alias("day"), "product", "purchases", "revenue"
+    )
+    return rounded(days, 4, "revenue")
+
+
+@query
+def streaming_late_rows(spark, sf_dir):
+    """The events that came again after their window had closed."""
+    late = spark.read.parquet(f"{_streamed_events(spark, sf_dir)}/late")
+    return late.select("event_id", "product", "price")
+
+
 # --- ordered log and splits ----------------------------------------------------------------
 
 
@@ -307,21 +359,35 @@ def read_dimension_counts(spark, sf_dir):
     return text.read_dimension(spark, path, "count label")
 
 
-@query
-def read_document_tree(spark, sf_dir):
-    """Documents written as one file each, in a folder per language and id, and read back."""
+def _document_tree(spark: SparkSession, sf_dir: str) -> str:
+    """Documents as one file each, in folders by language and source."""
     root = new_path(spark, "tree")
     docs = relations.table(spark, sf_dir, "documents")
-    rows = docs.select("lang", "doc_id", F.coalesce("text", F.lit("")).alias("value"))
-    rows.write.partitionBy("lang", "doc_id").text(root)
-    found = corpus.read_document_tree(spark, root)
+    tree = docs.select(F.col("lang").alias("split"), F.col("source").alias("label"), "doc_id", "text")
+    document_files.write_document_tree(tree, root)
+    return root
+
+
+def _read_back(found: DataFrame) -> DataFrame:
     return found.select(
-        F.regexp_extract("split", "lang=(.*)", 1).alias("lang"),
-        F.regexp_extract("label", "doc_id=(.*)", 1).cast("long").alias("doc_id"),
-        F.sha2(F.expr("left(text, length(text) - 1)"), 256).alias("text_sha256"),
+        F.col("split").alias("lang"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
     )
 
 
+@query
+def read_document_tree(spark, sf_dir):
+    """Documents written as one file each and read back as whole files."""
+    return _read_back(corpus.read_document_tree(spark, _document_tree(spark, sf_dir)))
+
+
+@query
+def read_document_files(spark, sf_dir):
+    """The same, read by the data source that wrote them, packed into tasks by bytes."""
+    return _read_back(document_files.read_document_files(spark, _document_tree(spark, sf_dir)))
+
+
 # --- statistics ----------------------------------------------------------------------------
 
 

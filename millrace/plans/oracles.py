@@ -109,11 +109,25 @@ SQL["purchase_report"] = _SUMMARY + """ SELECT
   printf('Total revenue: %.2f', revenue) AS revenue_line,
   printf('Most popular product: %s with %d purchases', top_product::VARCHAR, top_purchases)
     AS product_line FROM summary"""
+SQL["sketched_users"] = """SELECT year(o_orderdate)::INTEGER AS year,
+  count(DISTINCT o_custkey) AS exact_users, TRUE AS near FROM orders GROUP BY year(o_orderdate)"""
 SQL["windowed_purchases"] = """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day,
   event_type AS product, count(*) AS purchases, round(sum(value), 4) + 0.0 AS revenue
 FROM events
 GROUP BY date_trunc('day', ts), event_type"""
 
+# events that come again count only while their window is open: an hour after the last event of all
+_AGAIN = """again AS (SELECT *, date_trunc('day', ts) + INTERVAL 1 DAY
+    <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR AS late FROM events WHERE event_id % 7 = 0)"""
+SQL["streaming_purchase_summary"] = f"""WITH {_AGAIN},
+streamed AS (SELECT ts, event_type, value FROM events
+  UNION ALL SELECT ts, event_type, value FROM again WHERE NOT late)
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type AS product,
+  count(*) AS purchases, round(sum(value), 4) + 0.0 AS revenue
+FROM streamed GROUP BY date_trunc('day', ts), event_type"""
+SQL["streaming_late_rows"] = f"""WITH {_AGAIN}
+SELECT event_id, event_type AS product, value AS price FROM again WHERE late"""
+
 # --- ordered log and splits ----------------------------------------------------------------
 
 SQL["row_position"] = f"WITH {LOG} SELECT event_id, pos FROM log"
@@ -160,6 +174,7 @@ SELECT split, row_number() OVER (PARTITION BY split ORDER BY userid, itemid, val
 FROM outputs"""
 SQL["read_document_tree"] = """SELECT lang, doc_id, sha256(coalesce(text, '')) AS text_sha256
 FROM documents"""
+SQL["read_document_files"] = SQL["read_document_tree"]
 SQL["read_dimension_names"] = "SELECT r_name AS name FROM region"
 SQL["read_dimension_counts"] = """SELECT count(*) AS n, n_name || ' suppliers' AS label
 FROM nation JOIN supplier ON n_nationkey = s_nationkey GROUP BY n_name"""

@@ -12,10 +12,15 @@ _made: dict[str, list[str]] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``, or else the session's warehouse folder.
 
-    Both are the application's own choice of a place that the driver and all executors reach.
+    Both are the application's own choice of a place that the driver and all executors reach; on a
+    cluster one of them must be set.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    folder = (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    chosen = configured or spark.sparkContext.getConf().contains("spark.sql.warehouse.dir")
+    if not chosen and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir: the default warehouse is a folder of the driver's machine")
+    return folder
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -51,6 +56,10 @@ def discard(spark: SparkSession, path: str) -> None:
 
 
 def discard_all(spark: SparkSession) -> None:
-    """Delete everything this application stored; results that read it must be done with."""
+    """Delete everything this application stored; results that read it must be done with.
+
+    Results of the library read stored tables until they are computed, so nothing is deleted behind
+    them: an application that runs for long calls this between its jobs.
+    """
     for path in list(_made.get(spark.sparkContext.applicationId, [])):
         discard(spark, path)

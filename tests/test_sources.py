@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from millrace import storage
 from millrace.operators import splits
-from millrace.sources import corpus, sinks
+from millrace.sources import corpus, document_files, sinks
 from millrace.sources import lines as text
+from millrace.streaming import purchases
 from millrace.streaming.purchases import run_available, windowed_purchase_summary
 
 
@@ -145,3 +146,72 @@ def test_tasks_run_without_the_package_on_their_path(tmp_path):
         [sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
     )
     assert "found 2" in done.stdout, done.stderr[-2000:]
+
+
+TREE = [
+    ("train", "a b/c", "1", "line\n\nünïcode\n"), ("train", "a b/c", "x%2F..", ""), ("test", ".hidden", "7", "z" * 5000),
+    ("test", "a+b", "8", "no newline"), ("test", "a+b", ".9", "\r\n"),
+]
+
+
+def test_document_files_round_trip(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([*TREE, ("test", "a+b", "none", None)], "split string, label string, doc_id string, text string")
+    path = str(tmp_path / "tree")
+    document_files.write_document_tree(docs.repartition(3), path)
+    assert (tmp_path / "tree" / "_SUCCESS").read_text() == "6"
+    plain = sorted([*TREE, ("test", "a+b", "none", "")])
+    assert sorted(rows(document_files.read_document_files(spark, path))) == plain
+    assert corpus.read_document_tree(spark, path).count() == len(plain)
+    monkeypatch.setattr(document_files, "TASK_BYTES", 2 * document_files.OPEN_BYTES)
+    packs = document_files.FilesReader(path).partitions()
+    assert len(packs) > 1 and sum(len(p.names) for p in packs) == len(plain)
+    with pytest.raises(Exception, match="exists"):
+        document_files.write_document_tree(docs, path)
+
+
+def test_a_failed_write_leaves_no_tree(spark, tmp_path):
+    docs = spark.createDataFrame([("s", "l", "1", "x"), ("s", None, "2", "y")], "split string, label string, doc_id string, text string")
+    with pytest.raises(Exception, match="no place in the tree"):
+        document_files.write_document_tree(docs.repartition(2), str(tmp_path / "tree"))
+    assert not (tmp_path / "tree").exists()
+
+
+def test_both_tree_readers_agree(spark, tmp_path):
+    docs = spark.createDataFrame([(f"s{i % 2}", f"l{i % 3}", str(i), f"text {i}\n") for i in range(40)], "split string, label string, doc_id string, text string")
+    document_files.write_document_tree(docs, str(tmp_path / "tree"))
+    own = sorted(rows(document_files.read_document_files(spark, str(tmp_path / "tree"))))
+    assert own == sorted(rows(corpus.read_document_tree(spark, str(tmp_path / "tree")))) == sorted(rows(docs))
+
+
+@pytest.mark.parametrize("killed_at", ["seen", "late", "sums"])
+def test_a_killed_stream_goes_on(spark, sf_dir, tmp_path, monkeypatch, killed_at):
+    """Killed within a batch, before or after it has written one of its tables."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        F.col("ts").cast("timestamp"), F.col("event_type").alias("product"), F.col("value").alias("price")
+    )
+    middle = events.agg(F.expr("percentile_approx(ts, 0.5)")).first()[0]
+    for part in (events.filter(F.col("ts") < F.lit(middle)), events.filter(F.col("ts") >= F.lit(middle)), events.limit(50)):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run(out, state):
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        purchases.accumulate_windows(stream, str(tmp_path / out), str(tmp_path / state))
+
+    run("whole", "state-whole")
+    write = type(events.write).parquet
+
+    def failing(self, path, *args, **kwargs):
+        write(self, path, *args, **kwargs)
+        if f"/{killed_at}/batch=1" in path:
+            raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(events.write), "parquet", failing)
+        with pytest.raises(Exception, match="killed"):
+            run("out", "state")
+    run("out", "state")
+    found, want = (sorted(rows(purchases.current_windows(spark, str(tmp_path / o)).withColumn("revenue", F.round("revenue", 6)))) for o in ("out", "whole"))
+    assert found == want
+    late = [sorted(rows(spark.read.parquet(str(tmp_path / o / "late")).drop("batch"))) for o in ("out", "whole")]
+    assert late[0] == late[1] and late[0]
+    assert sum(r[2] for r in found) + len(late[0]) == events.count() + 50
