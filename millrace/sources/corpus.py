@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 def read_document_tree(spark: SparkSession, path: str) -> DataFrame:
     """``.../<split>/<label>/<doc_id>`` files as ``(split, label, doc_id, text)``.
 
-    File names repeat across directories: the key is all three, as they are on disk. Small files are packed into
+    File names repeat across directories: the key is all three, as they are on disk. Spark's
+    listing passes over empty files; ``document_files.read_document_files`` reads them. Small files are packed into
     tasks by Spark (``spark.sql.files.maxPartitionBytes`` and ``openCostInBytes``).
     """
     parts = F.split(F.col("_metadata.file_path"), "/")
@@ -17,11 +18,10 @@ def read_document_tree(spark: SparkSession, path: str) -> DataFrame:
     def from_end(n: int):
         return F.url_decode(F.replace(F.element_at(parts, -n), F.lit("+"), F.lit("%2B")))
 
-    # read as bytes: the text format passes over empty files
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     return files.select(
         from_end(3).alias("split"),
         from_end(2).alias("label"),
         from_end(1).alias("doc_id"),
-        F.col("content").cast("string").alias("text"),
+        F.col("value").alias("text"),
     )
