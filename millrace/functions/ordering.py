@@ -124,6 +124,32 @@ def running_counts(
     return counted.drop("_bucket", "_total", *[f"_before_{n}" for n in names])
 
 
+def positions_between(
+    df: DataFrame, order_by: str, start: int, stop: int, name: str = "pos", buckets: int | None = None
+) -> DataFrame:
+    """The rows at positions ``start`` to ``stop`` (exclusive) of :func:`row_position`.
+
+    The counts per bucket, some hundreds of numbers, say which buckets hold these positions; the
+    others are filtered out before anything is shuffled.
+    """
+    cuts = order_cuts(df, order_by, buckets or default_buckets(df))
+    order = _row_order(df, order_by)
+    bucketed = with_order_bucket(df, order_by, cuts, order[1])
+    sizes = dict(bucketed.groupBy("_bucket").count().collect())
+    before, held = 0, {}
+    for bucket in sorted(sizes):
+        if before < stop and before + sizes[bucket] > start:
+            held[bucket] = before
+        before += sizes[bucket]
+    if not held:
+        return df.limit(0).withColumn(name, F.lit(0).cast("long"))
+    shift = F.element_at(F.create_map(*[F.lit(x).cast("long") for pair in held.items() for x in pair]), F.col("_bucket").cast("long"))
+    local = F.row_number().over(W.partitionBy("_bucket").orderBy(*order)) - 1
+    chosen = bucketed.filter(F.col("_bucket").isin(list(held)))
+    ranked = chosen.withColumn(name, (shift + local).cast("long")).drop("_bucket")
+    return ranked.filter((F.col(name) >= start) & (F.col(name) < stop))
+
+
 def segmented_scan(
     df: DataFrame,
     group: str,

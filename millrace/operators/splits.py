@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from millrace.functions.fields import leading_number
 from millrace.functions.ordering import (
     group_ordinal,
+    positions_between,
     row_position,
     segmented_scan,
     sorted_position,
@@ -65,6 +66,14 @@ def slice_rows(positioned: DataFrame, start: int, stop: int) -> DataFrame:
     return positioned.filter((F.col("pos") >= start) & (F.col("pos") < stop))
 
 
+def slice_log(log: DataFrame, start: int, stop: int, order_by: str) -> DataFrame:
+    """Rows at positions ``start`` (inclusive) to ``stop`` (exclusive) in the order of ``order_by``, with ``pos``.
+
+    Only the order buckets that hold these positions are shuffled and ranked.
+    """
+    return positions_between(log, order_by, start, stop)
+
+
 def _fold(folds: int) -> Column:
     """Fold of a row at ``pos`` of ``_rows``."""
     return F.expr(f"(pos * {folds}L) div _rows") + 1

@@ -24,7 +24,7 @@ from millrace.operators import (
 )
 from millrace.plans import itemcf, relations
 from millrace.sources import lines as text
-from millrace.sources import corpus, document_files, matrices, sinks
+from millrace.sources import corpus, document_files, matrices, positions, sinks
 from millrace.storage import materialize, new_path
 from millrace.streaming.purchases import (
     accumulate_windows,
@@ -238,8 +238,18 @@ def split_leave_range(spark, sf_dir):
 
 @query
 def slice_rows(spark, sf_dir):
-    positioned = add_position(relations.rating_log(spark, sf_dir), "event_id")
-    return splits.slice_rows(positioned, 100, 700).select("event_id", "pos", "value")
+    """Positions 100 to 699; only the order buckets that hold them are ranked."""
+    found = splits.slice_log(relations.rating_log(spark, sf_dir), 100, 700, "event_id")
+    return found.select("event_id", "pos", "value")
+
+
+@query
+def slice_text(spark, sf_dir):
+    """The same positions of the log as text, read by a positional index of small byte ranges."""
+    path = new_path(spark, "log")
+    relations.rating_log(spark, sf_dir).orderBy("event_id").select("value").write.text(path)
+    index = positions.index_lines(spark, path, range_bytes=1 << 16)
+    return positions.read_positions(index, 100, 700)
 
 
 @query

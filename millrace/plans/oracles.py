@@ -140,6 +140,7 @@ SQL["split_leave_range"] = f"""WITH {LOG} SELECT event_id, userid, value,
 SQL["slice_rows"] = (
     f"WITH {LOG} SELECT event_id, pos, value FROM log ORDER BY event_id LIMIT 600 OFFSET 100"
 )
+SQL["slice_text"] = f"WITH {LOG} SELECT pos, value FROM log WHERE pos BETWEEN 100 AND 699"
 SQL["sort_ratings"] = f"""WITH {LOG} SELECT
   row_number() OVER (ORDER BY userid, itemid, value) - 1 AS sort_pos, userid, itemid, value
 FROM log"""

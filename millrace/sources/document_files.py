@@ -36,7 +36,8 @@ OPEN_BYTES = 16 << 10
 _ROWS = 512
 
 
-def _located(path: str) -> tuple[fs.FileSystem, str]:
+def located(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
     if path.startswith("file:") and not path.startswith("file://"):
         path = "file://" + path.removeprefix("file:")
     return fs.FileSystem.from_uri(path)
@@ -62,7 +63,7 @@ class FilesWriter(DataSourceArrowWriter):
         self.path = path
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        where, root = _located(self.path)
+        where, root = located(self.path)
         attempt, made, files = uuid.uuid4().hex, set(), 0
         for batch in iterator:
             columns = [batch.column(name) for name in ("split", "label", "doc_id", "text")]
@@ -83,14 +84,14 @@ class FilesWriter(DataSourceArrowWriter):
         return Written(files, tuple(sorted(made)), attempt)
 
     def commit(self, messages: list[Written | None]) -> None:
-        where, root = _located(self.path)
+        where, root = located(self.path)
         where.create_dir(root)
         with where.open_output_stream(f"{root}/_SUCCESS") as out:
             out.write(str(sum(m.files for m in messages if m)).encode())
 
     def abort(self, messages: list[Written | None]) -> None:
         """The tree is new (an existing one is refused), so all of it belongs to the failed job."""
-        where, root = _located(self.path)
+        where, root = located(self.path)
         if where.get_file_info(root).type == fs.FileType.Directory:
             where.delete_dir(root)
 
@@ -105,7 +106,7 @@ class FilesReader(DataSourceReader):
         self.path = path
 
     def partitions(self) -> list[Pack]:
-        where, root = _located(self.path)
+        where, root = located(self.path)
         packs: list[Pack] = []
         room = 0
         for info in where.get_file_info(fs.FileSelector(root, recursive=True)):
@@ -120,7 +121,7 @@ class FilesReader(DataSourceReader):
         return packs
 
     def read(self, partition: Pack) -> Iterator[pa.RecordBatch]:
-        where, _ = _located(self.path)
+        where, _ = located(self.path)
         for begin in range(0, len(partition.names), _ROWS):
             rows: list[tuple] = []
             for name in partition.names[begin : begin + _ROWS]:
@@ -146,7 +147,7 @@ class DocumentFiles(DataSource):
 
     def writer(self, schema: StructType, overwrite: bool) -> FilesWriter:
         path = self.options["path"]
-        where, root = _located(path)
+        where, root = located(path)
         if where.get_file_info(root).type != fs.FileType.NotFound:
             raise ValueError(f"{path} exists")
         return FilesWriter(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from millrace import storage
 from millrace.operators import splits
-from millrace.sources import corpus, document_files, sinks
+from millrace.sources import corpus, document_files, positions, sinks
 from millrace.sources import lines as text
 from millrace.streaming import purchases
 from millrace.streaming.purchases import run_available, windowed_purchase_summary
@@ -214,3 +214,25 @@ def test_a_killed_stream_goes_on(spark, sf_dir, tmp_path, monkeypatch, killed_at
     late = [sorted(rows(spark.read.parquet(str(tmp_path / o / "late")).drop("batch"))) for o in ("out", "whole")]
     assert late[0] == late[1] and late[0]
     assert sum(r[2] for r in found) + len(late[0]) == events.count() + 50
+
+
+@pytest.mark.parametrize("size", [1, 7, 64, 1 << 20])
+def test_positional_index(spark, tmp_path, monkeypatch, size):
+    monkeypatch.setattr(positions, "_READ", 16)
+    texts = {"b/1": "one\ntwo\r\n\nfour", "b/2": "", "b/3": "\n\nx" * 40 + "\n", "a": "last\n" + "long" * 30 + "\n"}
+    for name, content in texts.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(content.encode())
+    index = positions.index_lines(spark, [str(tmp_path / "b"), str(tmp_path / "a")], size)
+    want = [line.removesuffix("\r") for t in texts.values() for line in t.removesuffix("\n").split("\n") if t]
+    assert rows(positions.read_positions(index, 0, 10**6), "pos") == list(enumerate(want))
+    for start, stop in ((0, 1), (3, 6), (60, 61), (len(want) - 1, len(want)), (10**6, 10**6 + 5)):
+        assert rows(positions.read_positions(index, start, stop), "pos") == list(enumerate(want))[start:stop]
+
+
+def test_a_slice_reads_few_of_many_ranges(spark, tmp_path):
+    (tmp_path / "log").write_text("".join(f"line {i}\n" for i in range(20_000)))
+    index = positions.index_lines(spark, str(tmp_path / "log"), 1 << 12)
+    assert index.count() > 40
+    assert 1 <= positions.ranges_of(index, 9_000, 9_300).count() <= 2
+    assert rows(positions.read_positions(index, 9_000, 9_002), "pos") == [(9_000, "line 9000"), (9_001, "line 9001")]

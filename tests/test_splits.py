@@ -257,3 +257,11 @@ def test_empty_log(spark):
     empty = spark.createDataFrame([], "at long, userid string, itemid long")
     assert splits.split_suite(empty, order_by="at").count() == 0
     assert splits.kfold_test(empty, 1, order_by="at").count() == 0
+
+
+@pytest.mark.parametrize("start, stop", [(0, 3), (290, 330), (895, 2000), (2000, 2001)])
+def test_slice_of_a_log(spark, start, stop):
+    df = odd_log(spark, "null")
+    whole = {p: i for i, p in rows(ordering.row_position(df, "at").select("itemid", "pos"))}
+    part = splits.slice_log(df, start, stop, "at")
+    assert {r.pos: r.itemid for r in part.collect()} == {p: i for p, i in whole.items() if start <= p < stop}
