@@ -21,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.llm.components import connected_components
@@ -33,8 +32,8 @@ BITS = 64
 #: Hashes counted at once in a long text.
 BLOCK = 1 << 16
 
-#: Up to so many fingerprints, three segments cost less than two; both find the same pairs.
-THREE_SEGMENTS_UP_TO = 1 << 30
+#: Ways to cut fingerprints, from few probes against short values to many against long ones.
+SEGMENTS = (3, 2)
 
 
 def shingle_hashes(text: bytes, width: int, seed: int) -> np.ndarray:
@@ -103,6 +102,25 @@ def segment_balls(segments: int, distance: int) -> list[tuple[int, list[int]]]:
     return balls
 
 
+def choose_segments(prints: DataFrame, distance: int) -> int:
+    """The cut of distinct fingerprints with the least probes and candidates; all find the same pairs.
+
+    A probe meets the fingerprints that share a segment's value: on average the sum of squared
+    counts of the values over their number, which is measured. More probes than the
+    next cut has even without candidates mean that the next is looked at.
+    """
+    costs = {}
+    for segments in SEGMENTS:
+        balls = segment_balls(segments, distance)
+        if costs and min(costs.values()) <= sum(len(flips) for _, flips in balls):
+            break
+        parts = [F.struct(F.lit(i).alias("segment"), F.col("fingerprint").bitwiseAND(F.lit(mask)).alias("value")) for i, (mask, _) in enumerate(balls)]
+        counts = prints.select(F.inline(F.array(*parts))).groupBy("segment", "value").agg(F.count("*").cast("double").alias("c"))
+        loads = dict(counts.groupBy("segment").agg(F.sum(F.col("c") * F.col("c")) / F.sum("c")).collect())
+        costs[segments] = sum(len(flips) * (1 + loads.get(i, 0.0)) for i, (_, flips) in enumerate(balls))
+    return min(costs, key=costs.get)
+
+
 def fingerprint_links(prints: DataFrame, distance: int, segments: int) -> DataFrame:
     """``a, b``: all pairs of different fingerprints (``fingerprint``, distinct) within reach."""
     balls = segment_balls(segments, distance)
@@ -148,7 +166,7 @@ def labelled(
         prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct-fingerprints"
     )
     if segments is None:
-        segments = 3 if firsts.count() <= THREE_SEGMENTS_UP_TO else 2
+        segments = choose_segments(firsts, distance)
     links = fingerprint_links(firsts.select("fingerprint"), distance, segments)
     parts = connected_components(links)
     # the smallest id of a component, from one row for each fingerprint that has a link

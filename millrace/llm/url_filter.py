@@ -3,7 +3,8 @@
 The first filter of a cascade holds the listed keys, the second the other keys of the
 universe that pass the first, the third the listed keys that pass the second, and so on until
 no key passes wrongly. Over the universe it was built for, membership is exact, and
-a row is judged by hashing its key: no join, no shuffle.
+a row is judged by hashing its key. To build it, the hashes of all keys are grouped once, which tells
+listed keys from others; nothing is joined.
 
 Keys are dealt by hash into blocks of at most ``block_keys`` listed keys, so that the filters
 a task holds have a fixed bound. Each block of rows is judged on its own; with one block
@@ -24,14 +25,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.repeats import mix
 from millrace.llm.rows import unused
-from millrace.storage import discard, materialize, store
+from millrace.storage import discard, materialize, new_path, store
 
 #: Listed keys of one block; with some ten bits a key its filters take a few megabytes.
 BLOCK_KEYS = 4_000_000
 
+#: Once no more keys than this are left, the remaining levels are built on the driver.
+TAIL_KEYS = 200_000
+
 _LEVELS = 200  # far beyond any cascade: sets halve from level to level
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -125,6 +130,9 @@ def build_cascade(listed: DataFrame, others: DataFrame) -> list[Bloom]:
     filters: list[Bloom] = []
     while sizes[0]:
         level = len(filters)
+        if sum(sizes) <= TAIL_KEYS:
+            filters += _tail([spark.read.parquet(path) for path in sets], level)
+            break
         if level > _LEVELS:
             raise RuntimeError("two different keys share both of their hashes")
         share = 0.5 * sizes[0] / max(1, sizes[1]) if level == 0 else 0.5
@@ -140,6 +148,26 @@ def build_cascade(listed: DataFrame, others: DataFrame) -> list[Bloom]:
     return filters
 
 
+def _tail(sets: list[DataFrame], level: int) -> list[Bloom]:
+    """The rest of a cascade, from at most ``TAIL_KEYS`` keys: the same filters, without jobs."""
+    tables = [keys.select("a", "b").toArrow() for keys in sets]
+    (a, b), (c, d) = ((_unsigned(t["a"]), _unsigned(t["b"])) for t in tables)
+    filters: list[Bloom] = []
+    while len(a):
+        if level > _LEVELS:
+            raise RuntimeError("two different keys share both of their hashes")
+        share = 0.5 * len(a) / max(1, len(c)) if level == 0 else 0.5
+        filter_ = Bloom.sized(len(a), share)
+        filter_.words = np.zeros(filter_.bits // 64, np.uint64)
+        for place in filter_.places(level, a, b):
+            np.bitwise_or.at(filter_.words, place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63)))
+        filters.append(filter_)
+        wrong = filter_.passes(level, c, d)
+        a, b, c, d = c[wrong], d[wrong], a, b
+        level += 1
+    return filters
+
+
 def in_cascade(filters: list[Bloom], a: str, b: str) -> Column:
     """Whether the key with these hashes is listed: it is if a filter of other keys drops it."""
 
@@ -172,26 +200,38 @@ def mark_listed(
     """
     spark = rows.sparkSession
     value = F.coalesce(key, F.lit(""))
-    a, b = unused(rows, "a"), unused(rows, "b")
+    a, b, at = unused(rows, "a"), unused(rows, "b"), unused(rows, "block")
+    # one grouped pass over all keys says which are listed; every other key comes from the rows
+    both = rows.select(*_hashes(value, "a", "b"), F.lit(False).alias("listed")).union(
+        listed.select(*_hashes(value, "a", "b"), F.lit(True).alias("listed"))
+    )
+    all_keys = store(both.groupBy("a", "b").agg(F.max("listed").alias("listed")), "keys")
+    keys = spark.read.parquet(all_keys)
+    blocks = max(1, -(-keys.filter("listed").count() // block_keys))
     hashed = rows.select("*", *_hashes(value, a, b))
-    wanted_path = store(listed.select(*_hashes(value, "a", "b")).distinct(), "listed")
-    wanted = spark.read.parquet(wanted_path)
-    universe = rows.select(*_hashes(value, "a", "b")).distinct()
-    others = universe.join(wanted, ["a", "b"], "left_anti")
-    blocks = max(1, -(-wanted.count() // block_keys))
-
-    def judged(block: int) -> DataFrame:
-        mine = F.pmod(F.shiftright("a", 32), F.lit(blocks)) == block
-        filters = build_cascade(wanted.filter(mine), others.filter(mine))
-        own = hashed.filter(F.pmod(F.shiftright(a, 32), F.lit(blocks)) == block) if blocks > 1 else hashed
-        return own.withColumn(name, in_cascade(filters, a, b)).drop(a, b)
-
     if blocks == 1:
-        result = judged(0)
-    else:  # one block's filters at a time, on the driver as in the tasks
-        result = reduce(DataFrame.union, [materialize(judged(i), "judged") for i in range(blocks)])
-    discard(spark, wanted_path)
-    return result
+        filters = build_cascade(keys.filter("listed"), keys.filter("not listed"))
+        discard(spark, all_keys)
+        return hashed.withColumn(name, in_cascade(filters, a, b)).drop(a, b)
+
+    def block(hash_: str) -> Column:
+        return F.pmod(F.shiftright(hash_, 32), F.lit(blocks))
+
+    # dealt once, so that each block reads its own keys and rows; one block's filters at a time
+    key_path, row_path = new_path(spark, "keys-by-block"), new_path(spark, "rows-by-block")
+    keys.withColumn("block", block("a")).repartition("block").write.partitionBy("block").parquet(key_path)
+    discard(spark, all_keys)
+    hashed.withColumn(at, block(a)).repartition(at, F.rand(5)).write.partitionBy(at).parquet(row_path)
+    whole = T.StructType([*hashed.schema.fields, T.StructField(at, T.IntegerType())])
+    done = []
+    for i in range(blocks):
+        mine = spark.read.parquet(key_path).filter(F.col("block") == i)
+        own = spark.read.schema(whole).parquet(row_path).filter(F.col(at) == i)
+        filters = build_cascade(mine.filter("listed"), mine.filter("not listed"))
+        done.append(materialize(own.withColumn(name, in_cascade(filters, a, b)).drop(a, b, at), "judged"))
+    discard(spark, key_path)
+    discard(spark, row_path)
+    return reduce(DataFrame.union, done)
 
 
 def judge_urls(

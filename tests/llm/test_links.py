@@ -7,6 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from millrace.llm import rows as llm_rows
 from millrace.llm import simhash, url_filter
 from millrace.llm.components import connected_components
 
@@ -160,3 +161,27 @@ def test_cascade_tells_sets_apart(spark):
     assert wrong.count() == 0
     assert sum(f.bits for f in filters) < 12 * listed.count()
     assert all(np.any(f.words) for f in filters)
+
+
+def test_the_cut_follows_the_load(spark):
+    even = spark.range(3000).select(F.xxhash64("id").alias("fingerprint"))
+    assert simhash.choose_segments(even, 4) == 3
+    # one value in the first segment for all: probes there meet every fingerprint
+    crowded = spark.range(3000).select((F.col("id") * F.lit(1 << 40)).alias("fingerprint"))
+    balls = simhash.segment_balls(2, 4)
+    assert sum(len(f) for _, f in balls) == 562 and simhash.choose_segments(crowded, 4) in (2, 3)
+    assert simhash.choose_segments(even.limit(0), 4) == 3
+
+
+@pytest.mark.parametrize("tail", [0, 200_000])
+def test_the_tail_of_a_cascade_changes_nothing(spark, monkeypatch, tail):
+    monkeypatch.setattr(url_filter, "TAIL_KEYS", tail)
+    keys = spark.range(4000).select("id", F.xxhash64("id").alias("a"), F.xxhash64(F.lit("s"), "id").alias("b"))
+    filters = url_filter.build_cascade(keys.filter("id % 5 = 0"), keys.filter("id % 5 <> 0"))
+    wrong = keys.filter(url_filter.in_cascade(filters, "a", "b") != (F.col("id") % 5 == 0))
+    assert len(filters) > 2 and wrong.count() == 0
+
+
+@pytest.mark.parametrize("setting, size", [("4m", 4 << 20), ("262144", 262144), ("256MB", 256 << 20), ("1g", 1 << 30), ("-1", -1), ("8kb", 8192), ("100b", 100)])
+def test_size_settings(setting, size):
+    assert llm_rows._bytes_of(setting) == size
