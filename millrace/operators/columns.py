@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from millrace.storage import materialize
 
-#: Entries of a result that a task holds at once: 32 MB of doubles.
-HELD_ENTRIES = 1 << 22
+#: Entries of a result that a task holds at once: 64 MB of doubles.
+HELD_ENTRIES = 1 << 23
 #: Entries of one row of a result that travel together.
 STRIP = 64
 _BATCH_ROWS = 4096

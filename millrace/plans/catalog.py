@@ -559,12 +559,12 @@ def gramian_blocks(spark, sf_dir):
     """
     rows = relations.embeddings(spark, sf_dir)
 
-    def cell(at: Column) -> Column:
-        first = F.get("features", at % 64)
-        second = F.get("features", (at % 64 + F.floor(at / 64).cast("int")) % 64)
-        return F.when(at < 4096, first * second).otherwise(first - second)
+    def turned(k: int) -> Column:
+        return F.concat(F.slice("features", k + 1, 64 - k), F.slice("features", 1, k)) if k else F.col("features")
 
-    cells = F.transform(F.sequence(F.lit(0), F.lit(8191)), cell)
+    products = [F.zip_with("features", turned(k), lambda x, y: x * y) for k in range(64)]
+    differences = [F.zip_with("features", turned(k), lambda x, y: x - y) for k in range(64)]
+    cells = F.concat(*products, *differences)
     wide = rows.repartition("row_id").select(cells.alias("features"))
     found = columns.gramian(wide, "features")
     return rounded(found.filter("i % 509 = 0 and j % 509 = 0"), 9, "value")
