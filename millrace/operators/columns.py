@@ -255,8 +255,8 @@ def upper_entries(rows: DataFrame, width: int, block: Block, no_entry: np.ndarra
 
 def mirrored(upper: DataFrame) -> DataFrame:
     """Both halves of a symmetric matrix."""
-    here, there = F.struct("i", "j", "value"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), "value")
-    return upper.select(F.inline(F.when(F.col("i") == F.col("j"), F.array(here)).otherwise(F.array(here, there))))
+    other = upper.filter("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "value")
+    return upper.union(other)  # both sides read one shuffle, and filters reach it
 
 
 def column_dot(df: DataFrame, columns: Columns) -> DataFrame:
