@@ -196,19 +196,21 @@ def shard_report(docs: DataFrame, shards: int, slots: int = SLOTS) -> DataFrame:
     )
 
 
-def write_shards(docs: DataFrame, path: str, slot_map: SlotMap, parts: int = 1) -> None:
+def write_shards(docs: DataFrame, path: str, slot_map: SlotMap, parts: int = 1) -> str:
     """Write the rows, with all their columns, as Parquet under ``shard=<number>`` folders.
 
-    ``parts`` tasks write a shard. Ids that fill several slots are dealt by their texts here.
+    ``parts`` tasks write a shard. Ids that fill several slots are dealt by their texts here. The
+    folders have another name if ``docs`` has a column ``shard``; the name is returned.
     """
-    hot, where = unused(docs, "hot"), unused(docs, "vslot")
     spark = docs.sparkSession
+    hot, hot_id, where, name = (unused(docs, n) for n in ("hot", "hot_id", "vslot", "shard"))
     sizes = docs.select("doc_id", record_size().alias("size"), slot_of(slot_map.slots, "doc_id").alias("vslot"))
     found = _hot_ids(materialize(sizes, "sizes"), slot_map.slots)
-    ids = materialize(found, "hot-ids").select("hot_id", F.col("hot").alias(hot))
-    marked = docs.join(F.broadcast(ids), docs["doc_id"].eqNullSafe(ids["hot_id"]), "left").drop("hot_id")
+    ids = materialize(found, "hot-ids").select(F.col("hot_id").alias(hot_id), F.col("hot").alias(hot))
+    marked = docs.join(F.broadcast(ids), docs["doc_id"].eqNullSafe(ids[hot_id]), "left").drop(hot_id)
     slot = F.when(F.col(hot), slot_of(slot_map.slots, "doc_id", "text")).otherwise(slot_of(slot_map.slots, "doc_id"))
-    shard = slot_map.latest(spark).withColumnRenamed("vslot", where)
+    shard = slot_map.latest(spark).select(F.col("vslot").alias(where), F.col("shard").alias(name))
     rows = marked.withColumn(where, slot).drop(hot).join(F.broadcast(shard), where)
-    dealt = rows.repartition("shard", F.pmod(F.col(where), F.lit(parts)))
-    dealt.drop(where).write.partitionBy("shard").parquet(path)
+    dealt = rows.repartition(F.col(name), F.pmod(F.col(where), F.lit(parts)))
+    dealt.drop(where).write.partitionBy(name).parquet(path)
+    return name

@@ -79,7 +79,7 @@ def test_clean_documents_pass_the_filters(spark, sf_dir):
 
 def test_registration():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].partition("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].partition("_")[0]) for n in names) == list(range(1, 14))
     assert set(names) == set(queries.QUERIES) and "pipeline" in contract.queries()
     assert set(oracles.SQL) <= set(names)
 

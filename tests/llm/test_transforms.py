@@ -151,10 +151,12 @@ def test_versions_of_the_map(spark):
 def test_written_shards_hold_the_texts(spark, wide, tmp_path):
     records = sharding.records_of(wide)
     slot_map = sharding.balanced_map(records, 4)
-    sharding.write_shards(wide, f"{tmp_path}/shards", slot_map, parts=2)
-    back = spark.read.parquet(f"{tmp_path}/shards")
-    assert set(back.columns) == {*wide.columns, "shard"}
-    assert found(back.select("doc_id", "text")) == found(wide.select("doc_id", "text"))
+    clashing = wide.withColumns({c: F.lit("own") for c in ("shard", "hot_id", "hot", "vslot", "size")})
+    for docs, name in ((wide, "shard"), (clashing, "_shard")):
+        assert sharding.write_shards(docs, f"{tmp_path}/{name}", slot_map, parts=2) == name
+        back = spark.read.parquet(f"{tmp_path}/{name}")
+        assert set(back.columns) == {*docs.columns, name}
+        assert found(back.select(docs.columns)) == found(docs)
 
 
 def test_no_rows_to_shard(empty):
