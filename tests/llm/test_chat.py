@@ -96,7 +96,10 @@ def test_shared_turns_stand_once_depth_first(tree):
 def test_positions_and_attention(tree):
     nodes = {bytes(r.node): r for r in tree.nodes.collect()}
     for c in tree.conversations.collect():
-        steps = [nodes[bytes(c.path[i : i + 16])] for i in range(0, len(c.path), 16)]
+        steps = [nodes[bytes(c.node)]]
+        while steps[0].parent is not None:
+            steps.insert(0, nodes[bytes(steps[0].parent)])
+        assert [r.depth for r in steps] == list(range(len(steps)))
         seen, position = set(), 0
         for r in steps:
             assert {x for a in r.ancestors for x in range(a.begin, a.end)} == seen
@@ -109,3 +112,25 @@ def test_positions_and_attention(tree):
 def test_empty(spark):
     empty = chat.chat_tree(spark.createDataFrame([], SCHEMA), VOCABULARY)
     assert empty.nodes.count() == 0 and chat.read_back(empty, VOCABULARY).count() == 0
+
+
+def test_conversations_longer_than_a_range(spark, monkeypatch):
+    """Pieces of a few rows: a third of them without an id, copies, prefixes and late branches."""
+    monkeypatch.setattr(chat, "_RANGE", 7)
+    rng = random.Random(8)
+    base = [(rng.choice(["user", "assistant"]), f"w{rng.randrange(3)}") for _ in range(40)]
+    table = [(None, i, "assistant", f"t{i % 5}") for i in range(120)]
+    for c in range(12):
+        turns = base[: 40 - 3 * (c % 4)] + ([("user", f"branch {c % 3}")] if c > 5 else [])
+        table += [(c, i, *t) for i, t in enumerate(turns)]
+    tree = chat.chat_tree(spark.createDataFrame(table, SCHEMA).repartition(6), VOCABULARY)
+    want = {}
+    for c, *turn in table:
+        want.setdefault(c, []).append(turn)
+    got = {r.conv_id: r for r in chat.read_back(tree, VOCABULARY).collect()}
+    assert got.keys() == want.keys()
+    for c, turns in want.items():
+        assert (got[c].n_turns, got[c].turns_sha256, got[c].loss_chars, got[c].loss_sha256) == digests(turns)
+    prefixes = {tuple(t[1:] for t in map(tuple, turns[: i + 1])) for turns in want.values() for i in range(len(turns))}
+    assert tree.nodes.count() == len(prefixes)
+    test_positions_and_attention(tree)
