@@ -9,7 +9,7 @@ a number that no passage has, so one pass over a text finds all passages, overla
 A null or empty text has no words and no hits; a null or empty item has no passage, a null item id is
 reported as the empty string. Items
 that share a passage are all reported, repeated documents each get their row. With no
-benchmark rows nothing is contaminated. Texts are scanned whole. Only ``doc_id, text`` and
+benchmark rows nothing is contaminated. Texts are scanned whole. Ids may be of any type. Only ``doc_id, text`` and
 ``item_id, text`` are read.
 """
 
@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.rows import row_key, structs, texts, unused
+from millrace.llm.rows import structs, texts, unused
+from millrace.storage import materialize
 
 _KEPT = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B))
 _TABLE = bytes(
@@ -159,63 +160,76 @@ def find_passages(finder_rows: list[tuple[str, list[str]]]) -> Column:
     return scan
 
 
-def finder_blocks(benchmark: DataFrame, width: int, max_passages: int) -> Iterator[list]:
-    """The passages in blocks of bounded size, each (passage, item ids); one block at least.
-
-    Counted first: a benchmark with more (passage, item) pairs than fit one automaton is cut
-    by passage hash, and the text is scanned once per block.
-    """
-    rows = passages(benchmark, width)
-    count = -(-max(1, rows.count()) // max_passages)
-    grouped = rows.groupBy("passage").agg(F.collect_set("item_id").alias("items"))
-    block = F.pmod(F.xxhash64("passage"), F.lit(count))
-    for b in range(count):
-        yield [(p, sorted(items)) for p, items in grouped.filter(block == b).collect()]
-
-
 def with_hits(
     docs: DataFrame, benchmark: DataFrame, name: str, width: int = 10, max_passages: int = MAX_PASSAGES
 ) -> DataFrame:
     """``docs`` with a struct column ``name`` of ``FIELDS``.
 
-    One automaton needs no shuffle. For a benchmark beyond one, every block scans the texts
-    on its own, so a task holds one automaton, and the hits meet per row.
+    One automaton, with the items of its passages, needs no shuffle. A benchmark with more
+    (passage, item) pairs than fit one goes block by block.
     """
-    first, *others = [find_passages(b) for b in finder_blocks(benchmark, width, max_passages)]
-    hits = docs.withColumn(name, first("text"))
-    if not others:
-        return hits
-    doc, key, more = (unused(hits, n) for n in ("doc", "key", "more"))
-    rows = docs.select("doc_id", "text")
-    scans = [
-        rows.select(*row_key(doc, key), find("text").alias(more)).filter(F.size(f"{more}.items") > 0)
-        for find in others
-    ]
-    per_row = reduce(DataFrame.union, scans).groupBy(doc, key).agg(F.collect_set(more).alias(more))
+    pairs = passages(benchmark, width)
+    total = pairs.count()
+    if total <= max_passages:
+        grouped = pairs.groupBy("passage").agg(F.collect_set("item_id").alias("items"))
+        return docs.withColumn(name, find_passages([(p, sorted(i)) for p, i in grouped.collect()])("text"))
+    key, more, items = (unused(docs, n) for n in ("key", "more", "items"))
+    found = _hits_by_block(docs.select("text"), pairs, -(-total // max_passages))
     return (
-        hits.select("*", *row_key(doc, key))
-        .join(per_row, [doc, key], "left")
-        .withColumn(name, _united(name, more))
-        .drop(doc, key, more)
+        docs.withColumn(name, find_passages([])("text"))
+        .withColumn(key, _text_key())
+        .join(found.toDF(key, more, items), key, "left")
+        .withColumn(name, _united(name, more, items))
+        .drop(key, more, items)
+    )
+
+
+def _text_key() -> Column:
+    """128 bits of the text: hits depend on nothing else, so equal texts share them."""
+    return F.unhex(F.md5("text"))
+
+
+def _hits_by_block(docs: DataFrame, pairs: DataFrame, count: int) -> DataFrame:
+    """``key, more, items``: hits of all blocks and items that occur, for every text with any.
+
+    Passages fall into blocks by hash. The hits of one block are stored before the next one is
+    fetched, so the driver and a task hold one block at a time, and automata know passages by
+    digest only: the items, however many share a passage, come from a join.
+    """
+    named = pairs.select("item_id", "passage", F.md5("passage").alias("id"))
+    named = materialize(named.withColumn("block", F.pmod(F.xxhash64("passage"), F.lit(count))), "passages")
+    stored = []
+    for b in range(count):
+        rows = named.filter(F.col("block") == b).select("passage", "id").distinct().collect()
+        scan = docs.select(_text_key().alias("key"), find_passages([(p, [i]) for p, i in rows])("text").alias("hit"))
+        stored.append(materialize(scan.filter(F.size("hit.items") > 0).dropDuplicates(["key"]), "block-hits"))
+    hits = reduce(DataFrame.union, stored)
+    items = (
+        hits.select("key", F.explode("hit.items").alias("id"))
+        .join(named.select("id", "item_id"), "id")
+        .groupBy("key")
+        .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     )
+    spans = hits.groupBy("key").agg(F.collect_list("hit").alias("more"))
+    return materialize(spans.join(items, "key"), "hits")
 
 
-def _united(first: str, others: str) -> Column:
-    """Union of a hit struct and a list of such structs of the same text."""
+def _united(first: str, others: str, items: str) -> Column:
+    """Union of the spans in a hit struct and in a list of such structs of the same text."""
 
     @F.arrow_udf(_TYPES)
-    def union(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for left, right in batches:
+    def union(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for left, right, known in batches:
             found: dict[str, list] = {name: [] for name in FIELDS}
-            for one, many in zip(left.to_pylist(), right.to_pylist(), strict=True):
-                hits = [one, *(many or [])]
+            rows = zip(left.to_pylist(), right.to_pylist(), known.to_pylist(), strict=True)
+            for one, many, ids in rows:
                 found["n_words"].append(one["n_words"])
                 for spans in ("word_spans", "byte_spans"):
-                    found[spans].append(merged([tuple(s) for h in hits for s in h[spans]]))
-                found["items"].append(sorted({i for h in hits for i in h["items"]}))
+                    found[spans].append(merged([tuple(s) for h in many or [] for s in h[spans]]))
+                found["items"].append(ids or [])
             yield structs(found, FIELDS)
 
-    return union(first, others)
+    return union(first, others, items)
 
 
 def contamination_report(

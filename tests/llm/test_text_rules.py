@@ -253,3 +253,14 @@ def test_dropping_contaminated(spark, wide, empty):
     assert out.columns == wide.columns and out.count() == wide.count() - 1
     assert decontamination.drop_contaminated(wide, items.limit(0)).count() == wide.count()
     assert decontamination.contamination_report(empty, items).count() == 0
+
+
+def test_blocks_give_the_same_report(spark, edge):
+    """Ids of any type; a passage that many items share; spans in bytes."""
+    named = edge.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    items = [(f"q{i}", "two words and a tail that many items share") for i in range(40)]
+    items += [(f"p{i}", t) for i, t in benchmark_rows()] + [("s", "two words"), (None, "First line here")]
+    table = spark.createDataFrame(items, "item_id string, text string")
+    one = found(decontamination.contamination_report(named, table, 3))
+    assert found(decontamination.contamination_report(named, table, 3, 25)) == one
+    assert any(row[5] and row[6] for row in one)
