@@ -25,7 +25,7 @@ from millrace.llm.rows import SPACES, structs, texts, unused
 
 SYMBOLS = b"#*$%&|<>"
 
-#: Stock phrases of page furniture and licences, in lower case.
+#: Stock phrases of page furniture and licences, in lower case: English, German, French, Spanish.
 BOILERPLATE = (
     "all rights reserved",
     "licensed under",
@@ -37,6 +37,25 @@ BOILERPLATE = (
     "enable javascript",
     "subscribe to our newsletter",
     "lorem ipsum",
+    "alle rechte vorbehalten",
+    "nutzungsbedingungen",
+    "datenschutzerklärung",
+    "cookies akzeptieren",
+    "javascript aktivieren",
+    "newsletter abonnieren",
+    "tous droits réservés",
+    "conditions d'utilisation",
+    "conditions d’utilisation",
+    "politique de confidentialité",
+    "mentions légales",
+    "accepter les cookies",
+    "activer javascript",
+    "todos los derechos reservados",
+    "términos de uso",
+    "política de privacidad",
+    "política de cookies",
+    "aceptar cookies",
+    "aviso legal",
 )
 
 _CONTINUATION = bytes(range(0x80, 0xC0))
@@ -66,7 +85,9 @@ _ANY_END = re.compile(
     rf"[{_TERMINALS}]|[.!?](?:[{re.escape(_CLOSING)}]"
     r"|\[[^\[\]]{1,40}\]|\(\d{1,3}\))*(?!\S)"
 )
-_BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE)).encode(), re.IGNORECASE)
+_BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE)))
+#: One separator between two labels, with blanks on both sides or on none.
+_SEPARATOR = re.compile(r"(?<=\s)[|›»](?=\s)|(?<=\w)[|›»](?=\w)")
 
 
 @dataclass(frozen=True)
@@ -102,14 +123,30 @@ def line_fails(line: bytes, n_words: int, rules: LineRules) -> str:
         return "punctuation"
     if n_words >= rules.unpunctuated and not has_sentence_end(line):
         return "punctuation"
-    bars = line.count(b"|") + line.count("›".encode()) + line.count("»".encode())
-    if bars >= rules.separators and bars > rules.separated * n_words:
+    if is_navigation(line, n_words, rules):
         return "navigation"
-    if n_words <= rules.boilerplate_words and _BOILERPLATE.search(line):
+    if n_words <= rules.boilerplate_words and _BOILERPLATE.search(line.decode("utf-8", "replace").lower()):
         return "boilerplate"
     return ""
 
 
+def is_navigation(line: bytes, n_words: int, rules: LineRules) -> bool:
+    """Whether the line is labels with separators between them.
+
+    A table row, framed by bars, is none; neither are bars that hug what they
+    enclose, and marks of quotes that the line also opens.
+    """
+    least = max(rules.separators, int(rules.separated * n_words) + 1)
+    if line.count(b"|") + line.count("›".encode()) + line.count("»".encode()) < least:
+        return False
+    text = line.decode("utf-8", "replace").strip()
+    if text.startswith("|") and text.endswith("|"):
+        return False
+    found = _SEPARATOR.findall(text)
+    quotes = sum(found.count(shut) for open_, shut in ("«»", "‹›") if open_ in text)
+    return len(found) - quotes >= least
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words inside a three-word window that occurs at least twice, its first time included."""
     n = len(words)

@@ -155,7 +155,12 @@ def test_line_rules():
     assert fails("word### other*** third$$$ fourth.") == "punctuation"
     assert fails("Home | Products | About | Contact") == "navigation"
     assert fails("Home › Garden › Tools › Rakes") == "navigation"
+    assert fails("Home|Products|About|Contact") == "navigation"
+    assert fails("| a | b | c | d |") == fails("(a||b) or |x| and |y| hold.") == fails("f(|x|, |y|) || g") == ""
+    assert fails("« Oui » dit-elle, « non » dit-il, « enfin » dit l’autre.") == ""
     assert fails("Copyright 2020. All Rights Reserved.") == "boilerplate"
+    assert fails("© 2020 Alle Rechte vorbehalten.") == fails("TOUS DROITS RÉSERVÉS") == "boilerplate"
+    assert fails("Todos los derechos reservados.") == "boilerplate"
     assert fails("All rights reserved. " + " ".join(f"word{i}" for i in range(30)) + ".") == ""
     assert fails(" ".join(["word"] * 60)) == "punctuation"
 
