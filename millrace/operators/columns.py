@@ -36,6 +36,8 @@ HELD_ENTRIES = 1 << 23
 #: Entries of one row of a result that travel together.
 STRIP = 64
 _BATCH_ROWS = 4096
+#: Entries of products that a task adds to its sums at once.
+_SLAB = 1 << 20
 
 Columns = list[str] | str
 
@@ -213,6 +215,7 @@ def upper_entries(rows: DataFrame, width: int, block: Block, no_entry: np.ndarra
         rows = materialize(rows, "wide-rows")  # scanned once for each range
         rows = rows.coalesce(max(1, rows.count() // (4 * width)))
     step = max(strip, HELD_ENTRIES // width // strip * strip)
+    slab = max(strip, _SLAB // width // strip * strip)
     kind = "i int, strip int, " + ", ".join(f"c{k} double" for k in range(strip))
     absent = np.zeros(width, bool) if no_entry is None else no_entry
 
@@ -222,19 +225,22 @@ def upper_entries(rows: DataFrame, width: int, block: Block, no_entry: np.ndarra
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = None
             for x in blocks_of_rows(batches):
-                part = block(x, begin, end)
-                total = part if total is None else np.add(total, part, out=total)
+                if total is None:
+                    total = np.zeros((end - begin, width - begin))
+                for low in range(begin, end, slab):  # the products of a few rows of the result at a time
+                    high = min(end, low + slab)
+                    total[low - begin : high - begin, low - begin :] += block(x, low, high)
             if total is None:
                 return
             first = begin // strip
             strips = -(-width // strip) - first
-            padded = np.zeros((end - begin, strips * strip))
-            padded[:, : width - begin] = total
             none = np.ones(strips * strip, bool)
             none[: width - begin] = absent[begin:]
             for s in range(strips):  # rows of the upper half that reach into this strip
                 i = np.arange(begin, min(end, (first + s + 1) * strip))
-                cells = padded[: len(i), s * strip : (s + 1) * strip]
+                cells = np.zeros((len(i), strip))
+                there = total[: len(i), s * strip : (s + 1) * strip]
+                cells[:, : there.shape[1]] = there
                 mask = none[None, s * strip : (s + 1) * strip] | absent[i][:, None]
                 columns = {f"c{k}": pa.array(cells[:, k], mask=mask[:, k]) for k in range(strip)}
                 key = {"i": pa.array(i, pa.int32()), "strip": pa.array(np.full(len(i), first + s), pa.int32())}
