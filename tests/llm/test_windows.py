@@ -241,3 +241,33 @@ def test_rows_of_hot_grams_grow_with_the_texts(spark, monkeypatch):
     small, large = ([sum(x) for x in zip(*m)] for m in made)
     assert 0 < large[1] <= 10 * large[0]  # a few runs for each string, not one for each window
     assert large[1] <= 2.5 * small[1]
+
+
+def periodic_rows(n, pairs):
+    """A pair of words, or a longer line, again and again in ``n`` texts with different surroundings."""
+    rng = np.random.default_rng(17)
+
+    def some(k):
+        return [f"w{x}" for x in rng.integers(0, 900, k)]
+
+    line = [f"l{x}" for x in range(13)]
+    rows = [(i, " ".join([*some(3 + i % 4), *["of", "the"] * (pairs + i % 3), *some(5)])) for i in range(n)]
+    return rows + [(1000 + i, " ".join([*some(4), *line * (pairs // 6), *some(4)])) for i in range(n)]
+
+
+@pytest.mark.parametrize("pairs", [60, 120])
+def test_periodic_texts_around_a_hot_gram_make_few_runs(spark, monkeypatch, pairs):
+    made, cut = [], repeats.runs
+
+    def watched(strings, kind):
+        rows = cut(strings, kind)
+        made.append((strings.count(), rows.count()))
+        return rows
+
+    monkeypatch.setattr(repeats, "runs", watched)
+    rows = periodic_rows(40, pairs)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(substring_dedup.remove_repeated_words(df, 50, 20).drop("kept")) == words_left(rows, 50)
+    assert found(suffix_dedup.remove_repeated_bytes(df, 100, 20).drop("kept")) == bytes_left(rows, 100)
+    strings, runs = map(sum, zip(*made))
+    assert 0 < runs <= 25 * strings  # what a period has of runs, however often it stands there
